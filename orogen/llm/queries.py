@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import simhash, suffix_dedup
 
-QUERIES = {"op5_simhash": simhash.op5_simhash}
+QUERIES = {"op5_simhash": simhash.op5_simhash, "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup}
 
 #: Queries without an entry have no SQL form (hash bits, iteration, models); tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {}
