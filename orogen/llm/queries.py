@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from . import simhash, suffix_dedup
-
-QUERIES = {"op5_simhash": simhash.op5_simhash, "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup}
+from . import mixing, packing, simhash, suffix_dedup
+
+QUERIES = {
+    "op4_packing": packing.op4_packing,
+    "op5_simhash": simhash.op5_simhash,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+    "op9_mixing": mixing.op9_mixing,
+}
 
 #: Queries without an entry have no SQL form (hash bits, iteration, models); tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {}
