@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, simhash, suffix_dedup
+from . import mixing, packing, quality_crf, simhash, suffix_dedup
 
 QUERIES = {
     "op4_packing": packing.op4_packing,
     "op5_simhash": simhash.op5_simhash,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+    "op7_quality_crf": quality_crf.op7_quality_crf,
     "op9_mixing": mixing.op9_mixing,
 }
 
