@@ -14,15 +14,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, read, written
+from .common import components, partitions, read, written
 
 COSINE = 0.98
-TABLES, PROJECTIONS, WIDTH = 16, 6, 0.9
+TABLES, PROJECTIONS, WIDTH = 12, 7, 0.9
 #: Classes of a bucket that one task compares with as many others.
 BLOCK = 512
 
@@ -73,35 +72,74 @@ def _hashed(seed: int):
     return run
 
 
+def _links(x: tuple, y: tuple, table: int, same: bool, cosine: float) -> Iterator[tuple[int, int, int]]:
+    """(class, linked class, links) within one pair of blocks: counts, and a spanning set of links."""
+    (ux, kx, cx, nx), (uy, ky, cy, ny) = x, y
+    hit = ux @ uy.T >= cosine
+    if same:
+        np.fill_diagonal(hit, False)
+    if not hit.any():
+        return
+    for t in range(table):
+        hit &= kx[:, t, None] != ky[None, :, t]  # met in an earlier table
+    links = hit @ ny
+    for p in np.flatnonzero(hit.any(axis=1)).tolist():
+        yield int(cx[p]), int(cy[hit[p].argmax()]), int(links[p])
+    for p, q in zip(*_spanning(hit), strict=True):
+        yield int(cx[p]), int(cy[q]), 0
+    if not same:
+        back = hit.T @ nx
+        for q in np.flatnonzero(hit.any(axis=0)).tolist():
+            yield int(cy[q]), int(cx[hit[:, q].argmax()]), int(back[q])
+
+
 def _compare(cosine: float):
-    """Counts and a spanning set of links for one pair of blocks of a bucket."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        table, same = int(pdf["tbl"].iloc[0]), pdf["left_block"].iloc[0] == pdf["right_block"].iloc[0]
-        left = pdf[pdf["block"] == pdf["left_block"].iloc[0]]
-        right = left if same else pdf[pdf["block"] == pdf["right_block"].iloc[0]]
-
-        def parts(p: pd.DataFrame) -> tuple:
-            return np.stack([np.frombuffer(u) for u in p["unit"]]), np.stack(p["keys"].to_numpy()), p["cls"].to_numpy(), p["members"].to_numpy()
-
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": [], "links": []}).astype("int64")
-        (x, kx, cx, nx), (y, ky, cy, ny) = parts(left), parts(right)
-        hit = x @ y.T >= cosine
-        if same:
-            np.fill_diagonal(hit, False)
-        for t in range(table):
-            hit &= kx[:, t, None] != ky[None, :, t]  # met in an earlier table
-        rows = []
-        links = hit @ ny
-        first = np.where(hit.any(axis=1), hit.argmax(axis=1), -1)
-        rows += [(c, int(cy[j]), int(n)) for c, j, n in zip(cx.tolist(), first.tolist(), links.tolist(), strict=True) if j >= 0]
-        i, j = _spanning(hit)
-        rows += [(int(cx[p]), int(cy[q]), 0) for p, q in zip(i, j, strict=True)]
-        if not same:
-            back = hit.T @ nx
-            rows += [(int(cy[q]), int(cx[hit[:, q].argmax()]), int(back[q])) for q in np.flatnonzero(back)]
-        return pd.DataFrame(rows, columns=["a", "b", "links"]).astype("int64")
+    """Pairs of blocks, sorted by ``pair``, to links."""
+
+    def arrays(rows: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        n = table.num_rows
+        out = {c: table.column(c).to_numpy() for c in ("pair", "tbl", "block", "left_block", "right_block", "cls", "members")}
+        out["keys"] = table.column("keys").combine_chunks().flatten().to_numpy().reshape(n, -1)
+        out["unit"] = np.array(table.column("unit").to_pylist(), object)
+        return out
+
+    def group(c: dict[str, np.ndarray], a: int, b: int) -> Iterator[tuple[int, int, int]]:
+        left, right = c["left_block"][a], c["right_block"][a]
+
+        def side(block: int) -> tuple:
+            at = a + np.flatnonzero(c["block"][a:b] == block)
+            return np.stack([np.frombuffer(u) for u in c["unit"][at]]) if len(at) else None, c["keys"][at], c["cls"][at], c["members"][at]
+
+        x = side(left)
+        y = x if left == right else side(right)
+        if x[0] is not None and y[0] is not None:
+            yield from _links(x, y, int(c["tbl"][a]), left == right, cosine)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def work(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            c = arrays(rows)
+            cuts = np.flatnonzero(np.append(True, c["pair"][1:] != c["pair"][:-1])).tolist() + [len(c["pair"])]
+            out = [link for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1 for link in group(c, a, b)]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["a", "b", "links"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pair = batch.column("pair").to_numpy()
+            other = np.flatnonzero(pair != pair[-1])
+            last = int(other[-1]) + 1 if len(other) else 0  # the last pair may go on in the next batch
+            if held and held[-1].column("pair")[-1].as_py() != pair[0]:
+                yield work(held)
+                held = []
+            if last:
+                yield work([*held, batch.slice(0, last)])
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield work(held)
 
     return run
 
@@ -150,8 +188,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, seed: int = 7, b
     placed = spots.join(crowd, ["tbl", "label", "key"]).withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
     # a member goes to every pair of blocks that its own belongs to
     pairs = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("left_block", F.least("block", "other")).withColumn("right_block", F.greatest("block", "other"))
-    met = pairs.groupBy("tbl", "label", "key", "left_block", "right_block").applyInPandas(_compare(cosine), "a long, b long, links long")
-    met = written(met, "links")
+    pairs = pairs.withColumn("pair", F.xxhash64("tbl", "label", "key", "left_block", "right_block"))
+    wanted = pairs.select("pair", "tbl", "block", "left_block", "right_block", "cls", "members", "keys", "unit")
+    dealt = wanted.repartition(partitions(vectors.sparkSession), "pair").sortWithinPartitions("pair")
+    met = written(dealt.mapInArrow(_compare(cosine), "a long, b long, links long"), "links")
     roots = components(met.select("a", "b"), "root")
     degree = met.groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("linked"))
     info = sizes.join(degree, "cls", "left").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
