@@ -26,7 +26,7 @@ CROWDED = 64
 _SLICE = 1 << 16
 
 
-def simhash(text: bytes, words: int = 3) -> int:
+def simhash(text: bytes, words: int = 3, seed: int = SEED) -> int:
     """The unsigned 64-bit SimHash of a text's word shingles, repeats included; 0 without words."""
     tokens = text.lower().split()
     if not tokens:
@@ -39,7 +39,7 @@ def simhash(text: bytes, words: int = 3) -> int:
     for at in range(0, total, _SLICE):
         part = tokens[at : min(at + _SLICE, total) + words - 1]
         grams = map(join, zip(*(part[i:] for i in range(words)), strict=False))
-        raw = np.frombuffer(b"".join([digest(g, SEED) for g in grams]), np.uint8)
+        raw = np.frombuffer(b"".join([digest(g, seed) for g in grams]), np.uint8)
         bits = np.unpackbits(raw).reshape(-1, 64)
         for k in range(0, len(bits), 255):
             ones += np.add.reduce(bits[k : k + 255], axis=0, dtype=np.uint8)
@@ -121,6 +121,86 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     return prints.join(member, "fp").select("doc_id", "fp", "component_id")
 
 
+#: Independent fingerprints of single words that ``similar_documents`` searches.
+TABLES = 4
+
+
+def _word_prints(tables: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = texts(batch)
+            same = pa.array([xxhash.xxh3_128_digest(t) for t in data], pa.binary())
+            fps = [np.array([simhash(t, 1, SEED + k) for t in data], np.uint64).view(np.int64).tolist() for k in range(tables)]
+            rows = pa.array([list(r) for r in zip(*fps, strict=True)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, rows], ["doc_id", "same", "fps"])
+
+    return run
+
+
+def shingles(text: bytes, words: int) -> set[bytes]:
+    """The distinct word shingles of a text, as hashes; the whole text if it has fewer words."""
+    tokens = text.lower().split()
+    digest, join = xxhash.xxh3_64_digest, b" ".join
+    return {digest(g) for g in map(join, zip(*(tokens[i:] for i in range(words)), strict=False))} or {digest(join(tokens))}
+
+
+def _verified(words: int, least: float):
+    """Pairs of texts whose shingle sets have a Jaccard similarity of ``least`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[int | None, set] = (None, set())
+        for batch in batches:
+            out = []
+            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+                if last[0] != b:
+                    last = (b, shingles((y or "").encode(), words))
+                own = shingles((x or "").encode(), words)
+                common = len(own & last[1])
+                if common >= least * (len(own) + len(last[1]) - common):
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(2)], ["a", "b"])
+
+    return run
+
+
+def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = TABLES) -> DataFrame:
+    """Rows (doc_id, same, component_id): groups of documents linked by a shingle similarity of ``least`` or more.
+
+    SimHash bits of word shingles lie far apart at a Jaccard similarity of 0.8 (ten bits
+    of 64 on average), those of single words close together. Candidates are texts with at
+    most 2 differing bits in one of ``tables`` independent single-word fingerprints, found by
+    the same grid join; the exact Jaccard similarity of their word shingles decides.
+    Equal texts form one class (``same``). At a grid point with more than CROWDED
+    classes, each is compared with the point's least and greatest document only, which
+    join the group's members there without listing its pairs.
+
+    ``docs``: doc_id (not null, else the row is left out) and text (null: empty).
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    prints = written(rows.mapInArrow(_word_prints(tables), "doc_id long, same binary, fps array<long>"), "prints")
+    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps")), "classes")
+    points = classes.select("rep", F.posexplode("fps").alias("tbl", "fp"))
+    points = points.select("rep", "tbl", "fp", F.explode(_near_points(cell(F.col("fp")))).alias("point"))
+    me, lo, hi = F.struct("rep", "fp"), F.min(F.struct("rep", "fp")).alias("lo"), F.max(F.struct("rep", "fp")).alias("hi")
+    counts = points.groupBy("tbl", "point").agg(F.count(F.lit(1)).alias("n"), lo, hi).where("n > 1")
+    shared = written(points.join(counts, ["tbl", "point"]), "points")
+    calm = shared.where(F.col("n") <= CROWDED).select("tbl", "point", me.alias("me"))
+    near = calm.withColumnRenamed("me", "x").join(calm.withColumnRenamed("me", "y"), ["tbl", "point"])
+    near = near.where("x.rep > y.rep and bit_count(x.fp ^ y.fp) <= 2").select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    crowd = shared.where(F.col("n") > CROWDED).select(F.explode(F.array("lo", "hi")).alias("to"), me.alias("me"))
+    crowd = crowd.where("me.rep <> to.rep and bit_count(me.fp ^ to.fp) <= 2").select(F.col("me.rep").alias("a"), F.col("to.rep").alias("b"))
+    pairs = written(near.union(crowd).distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    reps = classes.select(F.col("rep").alias("doc_id"), "same")
+    wanted = rows.join(ends, "doc_id").join(reps, "doc_id").where(F.expr("doc_id is not null"))
+    first, second = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    links = written(both.mapInArrow(_verified(words, least), "a long, b long"), "similar")
+    roots = components(links, "component_id").withColumnRenamed("node", "rep")
+    member = classes.select("same", "rep").join(roots, "rep", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"))
+    return prints.select("doc_id", "same").join(member, "same").select("doc_id", "same", "component_id")
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     from .common import read
 
