@@ -1,5 +1,5 @@
 """Registered queries, by family."""
 
-from . import selection
+from . import events, joining, selection, statistics, structure
 
-MODULES = [selection]
+MODULES = [selection, joining, statistics, structure, events]
