@@ -6,6 +6,7 @@ Lineage is cut with Parquet tables in the shared folder that the cluster names i
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import tempfile
 import uuid
@@ -127,3 +128,12 @@ def unpack(blob: bytes) -> object:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+
+def release() -> None:
+    """Give memory that a finished task no longer uses back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the C library that has it
+        pass

@@ -33,14 +33,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Table, pack, partitions, read, texts, unpack
+from .common import Table, pack, partitions, read, release, texts, unpack
 from .lcp import front_code, front_decode, merge
 
 SPAN, GRAM = 50, 16
 #: Different stretches of one gram beyond which they are exchanged window by window.
 CROWDED = 4096
-_BUFFER = 2 << 20
-_FLUSH = 16 << 20
+_BUFFER = 1 << 20
+#: Ranges of the gram hashes that a task sorts one after another.
+_RANGES = 4
+_FLUSH = 8 << 20
 _SCHEMA = "part int, kind int, blob binary"
 _ODD = 0x9E3779B97F4A7C15
 
@@ -253,32 +255,49 @@ def _edges(parts: int) -> np.ndarray:
 def _match(parts: int, crowded: int):
     """Runs of one share of the grams to removed intervals and candidates."""
 
-    def decide(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        cols = [[] for _ in range(7)]
+    def decide(blobs: list[bytes], part: int) -> Iterator[pa.RecordBatch]:
+        runs = []
         for blob in blobs:
             n, doc, th, local, start, size, offset, planes, top = unpack(blob)
             content = np.zeros((n, 8), np.uint8)
             content[:, :5] = np.frombuffer(top, np.uint8).reshape(n, 5)
-            for col, x in zip(cols, (_from_planes(planes, n), content.view(np.uint64).ravel(), doc[local], th[local], start, size, offset), strict=True):
-                col.append(x)
-        gram, content, doc, th, start, size, offset = (np.concatenate(c) for c in cols)
-        order = np.lexsort((doc, content, gram))
-        gram, content, doc, th, start, size, offset = (x[order] for x in (gram, content, doc, th, start, size, offset))
+            runs.append((_from_planes(planes, n), content.view(np.uint64).ravel(), local, doc, th, start, size, offset))
+        low, high = (part << 64) // parts, ((part + 1) << 64) // parts
+        removed, open_ = [], []
+        for k in range(_RANGES):
+            ends = np.array([low + (high - low) * i // _RANGES for i in (k, k + 1)], object)
+            cols = [[] for _ in range(7)]
+            for gram, content, local, doc, th, start, size, offset in runs:
+                a = np.searchsorted(gram, np.uint64(ends[0]))
+                b = len(gram) if ends[1] >> 64 else np.searchsorted(gram, np.uint64(ends[1]))
+                own = local[a:b]
+                for col, x in zip(cols, (gram[a:b], content[a:b], doc[own], th[own], start[a:b], size[a:b], offset[a:b]), strict=True):
+                    col.append(x)
+            if any(map(len, cols[0])):
+                late, apart = resolve([np.concatenate(c) for c in cols])
+                removed.append(late)
+                open_.append(apart)
+        for kind, found in ((REMOVED, removed), (CANDIDATE, open_)):
+            if any(len(f[0]) for f in found):
+                doc, th, start, size, *more = (np.concatenate(c) for c in zip(*found, strict=True))
+                yield _intervals(doc, th, start, size, parts, kind, *more)
+
+    def resolve(cols: list[np.ndarray]) -> tuple[tuple, tuple]:
+        """Intervals of the stretches that an earlier document has, and of those left to compare."""
+        order = np.lexsort((cols[2], cols[1], cols[0]))
+        gram, content, doc, th, start, size, offset = (x[order] for x in cols)
         new_gram = np.ones(len(gram), bool)
         new_gram[1:] = gram[1:] != gram[:-1]
         new = new_gram.copy()
         new[1:] |= content[1:] != content[:-1]
         late = doc > doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        if late.any():
-            yield _intervals(doc[late], th[late], start[late], size[late], parts, REMOVED)
         group = np.cumsum(new_gram) - 1
         heads = np.flatnonzero(new_gram)
         different = np.add.reduceat(new.astype(np.int64), heads)
         least, most = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
-        open_ = ((different > 1) & (least < most))[group] & ~late
-        if open_.any():
-            apart = (different > crowded)[group][open_]
-            yield _intervals(doc[open_], th[open_], start[open_], size[open_], parts, CANDIDATE, offset[open_], apart)
+        left = ((different > 1) & (least < most))[group] & ~late
+        apart = (different > crowded)[group][left]
+        return (doc[late], th[late], start[late], size[late]), (doc[left], th[left], start[left], size[left], offset[left], apart)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
@@ -289,7 +308,7 @@ def _match(parts: int, crowded: int):
                 else:  # the scan has decided these; they are at home already
                     yield _rows([part], kind, [blob])
             if blobs:
-                yield from decide(blobs)
+                yield from decide(blobs, part)
 
     return run
 
@@ -483,16 +502,26 @@ def _apply(names: list[str], with_kept: bool):
                             kept.append(text[at:s])
                             at = e
                         left = b"".join([*kept, text[at:]])
-                        out.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left))
+                        out.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left, left.decode("utf-8", "ignore")))
                     cols = list(zip(*out, strict=True))
                     made = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3])]
-                    made += [pa.array(cols[4], pa.binary())] if with_kept else []
-                    yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *made], [*names, *_MADE[: 4 + with_kept]])
+                    made += [pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.string())] if with_kept else []
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *made], [*names, *_MADE[: len(made)]])
 
     return run
 
 
-_MADE = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+_MADE = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
+
+
+def _task(run):
+    """``run`` as a task that gives its memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return task
 
 
 def _dealt(df: DataFrame, parts: int) -> DataFrame:
@@ -500,7 +529,8 @@ def _dealt(df: DataFrame, parts: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, kept: bool = False, crowded: int = CROWDED) -> DataFrame:
-    """The columns of ``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary).
+    """The columns of ``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept
+    (binary) and kept_text (string, without characters that were cut).
 
     Needs doc_id (integer) and text. A null text is empty; texts under 50 bytes lose
     nothing. "Smaller" is strict: rows that repeat a doc_id do not remove each other's
@@ -511,15 +541,15 @@ def remove_repeats(docs: DataFrame, kept: bool = False, crowded: int = CROWDED)
     parts = partitions(spark)
     docs = docs.drop(*_MADE).withColumn("doc_id", F.col("doc_id").cast("long"))
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    first = Table(_dealt(narrow.mapInArrow(_scan(parts), _SCHEMA), parts).mapInArrow(_match(parts, crowded), _SCHEMA), "stretches")
-    homes = narrow.mapInArrow(_texts_home(parts), _SCHEMA)
-    suffixes = _dealt(first.df.where(F.col("kind") == CANDIDATE).union(homes), parts).mapInArrow(_extract(parts), _SCHEMA)
-    second = Table(_dealt(suffixes, parts).mapInArrow(_merge(parts), _SCHEMA), "windows")
+    first = Table(_dealt(narrow.mapInArrow(_task(_scan(parts)), _SCHEMA), parts).mapInArrow(_task(_match(parts, crowded)), _SCHEMA), "stretches")
+    homes = narrow.mapInArrow(_task(_texts_home(parts)), _SCHEMA)
+    suffixes = _dealt(first.df.where(F.col("kind") == CANDIDATE).union(homes), parts).mapInArrow(_task(_extract(parts)), _SCHEMA)
+    second = Table(_dealt(suffixes, parts).mapInArrow(_task(_merge(parts)), _SCHEMA), "windows")
     removed = first.df.where(F.col("kind") == REMOVED).union(second.df)
-    rows = docs.mapInArrow(_texts_home(parts), _SCHEMA)
+    rows = docs.mapInArrow(_task(_texts_home(parts)), _SCHEMA)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    made = ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept binary"] * kept
-    return _dealt(removed.union(rows), parts).mapInArrow(_apply(docs.columns, kept), ", ".join(fields + made))
+    made = ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept binary", "kept_text string"] * kept
+    return _dealt(removed.union(rows), parts).mapInArrow(_task(_apply(docs.columns, kept)), ", ".join(fields + made))
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
