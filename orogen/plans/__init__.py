@@ -1,5 +1,5 @@
 """Registered queries, by family."""
 
-from . import events, joining, selection, statistics, structure
+from . import events, joining, selection, statistics, structure, terrain
 
-MODULES = [selection, joining, statistics, structure, events]
+MODULES = [selection, joining, statistics, structure, events, terrain]
