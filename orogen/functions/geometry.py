@@ -10,28 +10,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _struct(**parts: Column) -> Column:
+    """A struct that remembers its parts, so that a chain of functions does not nest whole structs."""
+    out = F.struct(*[p.alias(n) for n, p in parts.items()])
+    out.__dict__["parts"] = parts
+    return out
+
+
+def part(a: Column, name: str) -> Column:
+    """A field of a struct, without the struct where the parts are known."""
+    known = a.__dict__.get("parts", {})
+    return known[name] if name in known else a[name]
+
+
 def vec(x: Column | float, y: Column | float, z: Column | float) -> Column:
-    return F.struct(*[(v if isinstance(v, Column) else F.lit(float(v))).cast("double").alias(n) for v, n in ((x, "x"), (y, "y"), (z, "z"))])
+    return _struct(**{n: (v if isinstance(v, Column) else F.lit(float(v))).cast("double") for n, v in (("x", x), ("y", y), ("z", z))})
 
 
 def dot(a: Column, b: Column) -> Column:
-    return a["x"] * b["x"] + a["y"] * b["y"] + a["z"] * b["z"]
+    return part(a, "x") * part(b, "x") + part(a, "y") * part(b, "y") + part(a, "z") * part(b, "z")
 
 
 def cross(a: Column, b: Column) -> Column:
-    return vec(a["y"] * b["z"] - a["z"] * b["y"], a["z"] * b["x"] - a["x"] * b["z"], a["x"] * b["y"] - a["y"] * b["x"])
+    return vec(part(a, "y") * part(b, "z") - part(a, "z") * part(b, "y"), part(a, "z") * part(b, "x") - part(a, "x") * part(b, "z"), part(a, "x") * part(b, "y") - part(a, "y") * part(b, "x"))
 
 
 def add(a: Column, b: Column) -> Column:
-    return vec(a["x"] + b["x"], a["y"] + b["y"], a["z"] + b["z"])
+    return vec(part(a, "x") + part(b, "x"), part(a, "y") + part(b, "y"), part(a, "z") + part(b, "z"))
 
 
 def sub(a: Column, b: Column) -> Column:
-    return vec(a["x"] - b["x"], a["y"] - b["y"], a["z"] - b["z"])
+    return vec(part(a, "x") - part(b, "x"), part(a, "y") - part(b, "y"), part(a, "z") - part(b, "z"))
 
 
 def scale(a: Column, k: Column | float) -> Column:
-    return vec(a["x"] * k, a["y"] * k, a["z"] * k)
+    return vec(part(a, "x") * k, part(a, "y") * k, part(a, "z") * k)
 
 
 def length(a: Column) -> Column:
@@ -72,40 +85,41 @@ def normalize_angle(radians: Column) -> Column:
 
 
 def box(lo: Column, hi: Column) -> Column:
-    return F.struct(lo.alias("lo"), hi.alias("hi"))
+    return _struct(lo=lo, hi=hi)
 
 
 def _all(test, *cols: Column) -> Column:
     out = F.lit(True)
     for axis in "xyz":
-        out = out & test(*[c[axis] for c in cols])
+        out = out & test(*[part(c, axis) for c in cols])
     return out
 
 
 def box_contains(b: Column, p: Column) -> Column:
-    return _all(lambda lo, hi, v: (v >= lo) & (v <= hi), b["lo"], b["hi"], p)
+    return _all(lambda lo, hi, v: (v >= lo) & (v <= hi), part(b, "lo"), part(b, "hi"), p)
 
 
 def box_intersects(a: Column, b: Column) -> Column:
-    return _all(lambda alo, ahi, blo, bhi: (alo <= bhi) & (blo <= ahi), a["lo"], a["hi"], b["lo"], b["hi"])
+    return _all(lambda alo, ahi, blo, bhi: (alo <= bhi) & (blo <= ahi), part(a, "lo"), part(a, "hi"), part(b, "lo"), part(b, "hi"))
 
 
 def box_distance_squared(b: Column, p: Column) -> Column:
     """Squared distance from a point to the nearest point of a box."""
     out = F.lit(0.0)
     for axis in "xyz":
-        gap = F.greatest(b["lo"][axis] - p[axis], p[axis] - b["hi"][axis], F.lit(0.0))
+        gap = F.greatest(part(part(b, "lo"), axis) - part(p, axis), part(p, axis) - part(part(b, "hi"), axis), F.lit(0.0))
         out = out + gap * gap
     return out
 
 
 def box_octants(b: Column) -> Column:
     """The eight boxes about the centre, x fastest."""
-    mid = scale(add(b["lo"], b["hi"]), 0.5)
+    low, high = part(b, "lo"), part(b, "hi")
+    mid = scale(add(low, high), 0.5)
     parts = []
     for k in range(8):
-        lo = vec(*[mid[a] if k >> i & 1 else b["lo"][a] for i, a in enumerate("xyz")])
-        hi = vec(*[b["hi"][a] if k >> i & 1 else mid[a] for i, a in enumerate("xyz")])
+        lo = vec(*[part(mid, a) if k >> i & 1 else part(low, a) for i, a in enumerate("xyz")])
+        hi = vec(*[part(high, a) if k >> i & 1 else part(mid, a) for i, a in enumerate("xyz")])
         parts.append(box(lo, hi))
     return F.array(*parts)
 
@@ -142,14 +156,14 @@ def ray_triangle(origin: Column, direction: Column, a: Column, b: Column, c: Col
 
 def rotate(q: Column, v: Column) -> Column:
     """``v`` turned by a unit quaternion."""
-    u = vec(q["x"], q["y"], q["z"])
+    u = vec(part(q, "x"), part(q, "y"), part(q, "z"))
     t = scale(cross(u, v), 2.0)
-    return add(add(v, scale(t, q["w"])), cross(u, t))
+    return add(add(v, scale(t, part(q, "w"))), cross(u, t))
 
 
 def quaternion_product(a: Column, b: Column) -> Column:
     """The rotation ``b`` followed by ``a``."""
-    ax, ay, az, aw, bx, by, bz, bw = (q[c] for q in (a, b) for c in "xyzw")
+    ax, ay, az, aw, bx, by, bz, bw = (part(q, c) for q in (a, b) for c in "xyzw")
     return F.struct(
         (aw * bx + ax * bw + ay * bz - az * by).alias("x"), (aw * by - ax * bz + ay * bw + az * bx).alias("y"),
         (aw * bz + ax * by - ay * bx + az * bw).alias("z"), (aw * bw - ax * bx - ay * by - az * bz).alias("w"),
@@ -158,13 +172,13 @@ def quaternion_product(a: Column, b: Column) -> Column:
 
 def slerp(a: Column, b: Column, t: Column | float) -> Column:
     """Spherical interpolation along the shorter arc; linear for nearly equal rotations."""
-    d = sum((a[c] * b[c] for c in "yzw"), a["x"] * b["x"])
+    d = sum((part(a, c) * part(b, c) for c in "yzw"), part(a, "x") * part(b, "x"))
     sign, d = F.when(d < 0, -1.0).otherwise(1.0), F.least(F.abs(d), F.lit(1.0))
     theta = F.acos(d)
     s = F.when(d < 0.9995, F.sin(theta))
     t = t if isinstance(t, Column) else F.lit(t)
     wa, wb = F.coalesce(F.sin((1 - t) * theta) / s, 1 - t), F.coalesce(F.sin(t * theta) / s, t) * sign
-    raw = {c: wa * a[c] + wb * b[c] for c in "xyzw"}
+    raw = {c: wa * part(a, c) + wb * part(b, c) for c in "xyzw"}
     n = F.sqrt(sum((raw[c] * raw[c] for c in "yzw"), raw["x"] * raw["x"]))
     return F.struct(*[(raw[c] / n).alias(c) for c in "xyzw"])
 

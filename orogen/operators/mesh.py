@@ -59,7 +59,7 @@ def surface(vertices: DataFrame, faces: DataFrame) -> DataFrame:
 def vertex_normals(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     """Vertices with nx, ny, nz: the unit sum of their faces' area-weighted normals; null without faces."""
     n = cross(sub(F.col("b"), F.col("a")), sub(F.col("c"), F.col("a")))
-    each = with_corners(vertices, faces).select("mesh", F.explode(F.array("p0", "p1", "p2")).alias("vid"), n.alias("n"))
+    each = with_corners(vertices, faces).withColumn("n", n).select("mesh", F.explode(F.array("p0", "p1", "p2")).alias("vid"), "n")
     total = each.groupBy("mesh", "vid").agg(*[F.sum(f"n.{c}").alias(f"s{c}") for c in "xyz"])
     size = F.nullif(length(vec(F.col("sx"), F.col("sy"), F.col("sz"))), F.lit(0.0))
     return vertices.join(total, ["mesh", "vid"], "left").withColumns({f"n{c}": F.col(f"s{c}") / size for c in "xyz"}).drop("sx", "sy", "sz")
