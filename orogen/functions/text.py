@@ -101,3 +101,74 @@ def geocode(lon: Column, lat: Column, bits: int) -> Column:
             cell = F.greatest(F.lit(0), F.least(F.lit((1 << bits) - 1), F.floor((value - low) / (high - low) * (1 << bits))))
             out = out + F.shiftright(cell, i).bitwiseAND(F.lit(1)) * (1 << (2 * i + place))
     return out.cast("long")
+
+
+def normalize_slashes(path: Column) -> Column:
+    """Backslashes as slashes, runs collapsed, no trailing slash; the double slash of a scheme stays."""
+    flat = F.regexp_replace(F.translate(path, "\\", "/"), "(?<!:)/+", "/")
+    return F.regexp_replace(flat, "(?<=[^/:])/+$", "")
+
+
+def strip_protocol(url: Column) -> Column:
+    return F.regexp_replace(url, "^[A-Za-z][A-Za-z0-9+.-]*://", "")
+
+
+def ensure_protocol(url: Column, scheme: str) -> Column:
+    return F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), url).otherwise(F.concat(F.lit(f"{scheme}://"), url))
+
+
+def parent_path(url: Column) -> Column:
+    """Everything before the last slash; '' without one."""
+    return F.regexp_extract(url, "^(.*)/[^/]*$", 1)
+
+
+def change_extension(path: Column, ext: str) -> Column:
+    return F.concat(strip_extension(path), F.lit(ext if ext.startswith(".") else "." + ext))
+
+
+def strip_non_printable(text: Column) -> Column:
+    return F.regexp_replace(text, "[\\x00-\\x1f\\x7f]", "")
+
+
+def strip_suffix(text: Column, suffix: str) -> Column:
+    return F.when(text.endswith(suffix), F.substring(text, 1, F.length(text) - len(suffix))).otherwise(text)
+
+
+def parse_list(text: Column, separator: str = ",") -> Column:
+    """Trimmed items, empty ones dropped."""
+    return F.filter(F.transform(F.split(text, f"[{separator}]"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def parse_percent(text: Column, total: Column) -> Column:
+    """'N%' of a total, or an absolute number; null if neither."""
+    number = F.regexp_extract(text, "^\\s*([0-9.]+)\\s*%?\\s*$", 1).try_cast("double")
+    return F.when(F.trim(text).endswith("%"), number / 100 * total).otherwise(number)
+
+
+def parse_bool(text: Column) -> Column:
+    low = F.lower(F.trim(text))
+    return F.when(low == "true", True).when(low == "false", False)
+
+
+def collapse_whitespace(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, "\\s+", " "))
+
+
+def uppercase_first(text: Column) -> Column:
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 1 << 30))
+
+
+def abbreviate(text: Column, most: int) -> Column:
+    """At most ``most`` characters, the last three dots if it was cut."""
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.substring(text, 1, most - 3), F.lit("...")))
+
+
+def snake_case(text: Column) -> Column:
+    """Dashes, dots and white space as underscores, and one at each change from small to capital; case is kept."""
+    return F.regexp_replace(F.regexp_replace(text, "[-.\\s]+", "_"), "([a-z0-9])([A-Z])", "$1_$2")
+
+
+def int_wildcards(text: Column, number: Column) -> Column:
+    """A run of # replaced by a zero-padded number."""
+    run = F.regexp_extract(text, "(#+)", 1)
+    return F.when(run == "", text).otherwise(F.concat(F.regexp_extract(text, "^([^#]*)", 1), F.lpad(number.cast("string"), F.length(run), F.lit("0")), F.regexp_extract(text, "^[^#]*#+(.*)$", 1)))
