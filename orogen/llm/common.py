@@ -10,6 +10,7 @@ import ctypes
 import pickle
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -137,3 +138,20 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # not the C library that has it
         pass
+
+
+def task(run: Callable) -> Callable:
+    """An Arrow function that gives its memory back when its task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return whole
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, slices, task
 
 SIZE = 2048
 END = 1
@@ -132,7 +132,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end = np.array([END], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             docs, data, at = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()], 0
             while at < len(data):
                 stop, held = at, 0
@@ -150,7 +150,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
                 at = stop
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(run, ", ".join(f"{c} long" for c in _PIECES))
+    return wanted.mapInArrow(task(run), ", ".join(f"{c} long" for c in _PIECES))
 
 
 _PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, slices, task
 
 THRESHOLD = 0.3
 #: Training rows of each class at most, and their text's bytes; the rows of least hash are taken.
@@ -263,7 +263,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.drop("quality_score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             data, out, at = [t or "" for t in batch.column("text").cast(pa.large_string()).to_pylist()], [], 0
             while at < len(data):
                 stop, held = at, 0
@@ -275,7 +275,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))], [*batch.schema.names, "quality_score"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return docs.mapInArrow(run, ", ".join([*fields, "quality_score double"]))
+    return docs.mapInArrow(task(run), ", ".join([*fields, "quality_score double"]))
 
 
 def op7_quality_crf(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, texts, written
+from .common import components, slices, task, texts, written
 
 SEED = 42
 SEGMENTS, SEGMENT_BITS = 16, 4
@@ -50,11 +50,11 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """Rows (doc_id, fp): the SimHash of every whole text as a signed long. A null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fp = np.array([simhash(t, words) for t in texts(batch)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task(run), "doc_id long, fp long")
 
 
 def _mask(pattern: int) -> Column:
@@ -125,18 +125,42 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
 TABLES = 4
 
 
-def _word_prints(tables: int):
+#: Bins of the sketch that screens pairs before their texts are compared, agreeing bins asked for, and shingles below which it is not asked.
+SKETCH_BINS, SKETCH_AGREE, SKETCH_LEAST = 32, 18, 128
+
+
+def _sketch(own: set[bytes]) -> tuple[int, int]:
+    """Four bits of the least hash in each of 32 bins, as two signed longs (one-permutation hashing)."""
+    h = np.frombuffer(b"".join(own), np.uint64)
+    least = np.full(SKETCH_BINS, np.iinfo(np.uint64).max)
+    np.minimum.at(least, (h & np.uint64(SKETCH_BINS - 1)).astype(np.int64), h >> np.uint64(5))
+    nibbles = (least & np.uint64(15)).reshape(2, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return tuple(np.bitwise_or.reduce(nibbles, axis=1).view(np.int64).tolist())
+
+
+def _word_prints(tables: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             data = texts(batch)
             same = pa.array([xxhash.xxh3_128_digest(t) for t in data], pa.binary())
             fps = [np.array([simhash(t, 1, SEED + k) for t in data], np.uint64).view(np.int64).tolist() for k in range(tables)]
             rows = pa.array([list(r) for r in zip(*fps, strict=True)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, rows], ["doc_id", "same", "fps"])
+            sets = (shingles(t, words) for t in data)
+            sketch = [(len(own), *_sketch(own)) for own in sets]
+            made = [pa.array([r[i] for r in sketch], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, rows, *made], ["doc_id", "same", "fps", "n", "s0", "s1"])
 
     return run
 
 
+def _differing(a: Column, b: Column) -> Column:
+    """Four-bit groups in which two longs differ."""
+    x = a.bitwiseXOR(b)
+    for k in (1, 2):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, k))
+    return F.bit_count(x.bitwiseAND(_mask(0x1111111111111111)))
+
+
 def shingles(text: bytes, words: int) -> set[bytes]:
     """The distinct word shingles of a text, as hashes; the whole text if it has fewer words."""
     tokens = text.lower().split()
@@ -149,7 +173,7 @@ def _verified(words: int, least: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int | None, set] = (None, set())
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
                 if last[0] != b:
@@ -172,30 +196,39 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, table
     the same grid join; the exact Jaccard similarity of their word shingles decides.
     Equal texts form one class (``same``). At a grid point with more than CROWDED
     classes, each is compared with the point's least and greatest document only, which
-    join the group's members there without listing its pairs.
+    join the group's members there without listing its pairs. Before texts meet, pairs
+    whose shingle counts or sketches rule the similarity out are left (a pair at 0.8 fails
+    the sketch once in tens of thousands).
 
     ``docs``: doc_id (not null, else the row is left out) and text (null: empty).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    prints = written(rows.mapInArrow(_word_prints(tables), "doc_id long, same binary, fps array<long>"), "prints")
-    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps")), "classes")
+    prints = written(rows.mapInArrow(task(_word_prints(tables, words)), "doc_id long, same binary, fps array<long>, n long, s0 long, s1 long"), "prints")
+    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("fps", "n", "s0", "s1")]), "classes")
     points = classes.select("rep", F.posexplode("fps").alias("tbl", "fp"))
-    points = points.select("rep", "tbl", "fp", F.explode(_near_points(cell(F.col("fp")))).alias("point"))
-    me, lo, hi = F.struct("rep", "fp"), F.min(F.struct("rep", "fp")).alias("lo"), F.max(F.struct("rep", "fp")).alias("hi")
-    counts = points.groupBy("tbl", "point").agg(F.count(F.lit(1)).alias("n"), lo, hi).where("n > 1")
-    shared = written(points.join(counts, ["tbl", "point"]), "points")
-    calm = shared.where(F.col("n") <= CROWDED).select("tbl", "point", me.alias("me"))
-    near = calm.withColumnRenamed("me", "x").join(calm.withColumnRenamed("me", "y"), ["tbl", "point"])
-    near = near.where("x.rep > y.rep and bit_count(x.fp ^ y.fp) <= 2").select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-    crowd = shared.where(F.col("n") > CROWDED).select(F.explode(F.array("lo", "hi")).alias("to"), me.alias("me"))
-    crowd = crowd.where("me.rep <> to.rep and bit_count(me.fp ^ to.fp) <= 2").select(F.col("me.rep").alias("a"), F.col("to.rep").alias("b"))
-    pairs = written(near.union(crowd).distinct(), "pairs")
+    points = points.select("rep", "tbl", F.explode(_near_points(cell(F.col("fp")))).alias("point"))
+    points = points.select("rep", F.xxhash64("tbl", "point").alias("spot"))  # two longs a row; a collision only adds candidates
+    counts = points.groupBy("spot").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
+    shared = written(points.join(counts, "spot"), "points")
+    calm = shared.where(F.col("met") <= CROWDED).join(classes.select("rep", "fps"), "rep").select("spot", "rep", "fps")
+    near = calm.withColumnsRenamed({"rep": "a", "fps": "fa"}).join(calm.withColumnsRenamed({"rep": "b", "fps": "fb"}), "spot")
+    bits = F.least(*[F.bit_count(F.col("fa")[t].bitwiseXOR(F.col("fb")[t])) for t in range(tables)]) if tables > 1 else F.bit_count(F.col("fa")[0].bitwiseXOR(F.col("fb")[0]))
+    near = near.where((F.col("a") > F.col("b")) & (bits <= 2)).select("a", "b")
+    crowd = shared.where(F.col("met") > CROWDED)
+    ends = crowd.groupBy("spot").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
+    crowd = crowd.join(ends, "spot").select(F.col("rep").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b")
+    pairs = near.union(crowd).distinct()
+    kinds = classes.select("rep", "n", "s0", "s1")
+    for p in "ab":
+        pairs = pairs.join(kinds.withColumnsRenamed({"rep": p, "n": f"n{p}", "s0": f"s0{p}", "s1": f"s1{p}"}), p)
+    apart = _differing(F.col("s0a"), F.col("s0b")) + _differing(F.col("s1a"), F.col("s1b"))
+    fits = (F.least("na", "nb") >= least * F.greatest("na", "nb")) & ((F.least("na", "nb") < SKETCH_LEAST) | (apart <= SKETCH_BINS - SKETCH_AGREE))
+    pairs = written(pairs.where(fits).select("a", "b"), "pairs")
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    reps = classes.select(F.col("rep").alias("doc_id"), "same")
-    wanted = rows.join(ends, "doc_id").join(reps, "doc_id").where(F.expr("doc_id is not null"))
+    wanted = written(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     first, second = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-    links = written(both.mapInArrow(_verified(words, least), "a long, b long"), "similar")
+    links = written(both.mapInArrow(task(_verified(words, least)), "a long, b long"), "similar")
     roots = components(links, "component_id").withColumnRenamed("node", "rep")
     member = classes.select("same", "rep").join(roots, "rep", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"))
     return prints.select("doc_id", "same").join(member, "same").select("doc_id", "same", "component_id")

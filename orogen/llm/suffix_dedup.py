@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Table, pack, partitions, read, release, texts, unpack
+from .common import Table, pack, partitions, read, slices, task, texts, unpack
 from .lcp import front_code, front_decode, merge
 
 SPAN, GRAM = 50, 16
@@ -225,7 +225,7 @@ def _scan(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, docs, hashes, held = [], [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             ids, data = batch.column("doc_id").to_pylist(), texts(batch)
             at = 0
             while at < len(data):
@@ -409,7 +409,7 @@ def _extract(parts: int):
                                 suffix = text[start + offset : start + size]
                                 entries[gram_hash(suffix[:GRAM]) % parts, False].append((suffix, text[start : start + offset], doc, th, start))
                                 held += 1
-                        if held >= 200_000:
+                        if held >= 60_000:
                             yield from flush(entries)
                             entries, held = defaultdict(list), 0
             yield from flush(entries)
@@ -455,6 +455,10 @@ def _repeated(group: list[tuple[bytes, bytes, int, int, int]]) -> Iterator[tuple
 def _merge(parts: int):
     """Front-coded runs of one partition to removed intervals."""
 
+    def intervals(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+        doc, th, start, size = zip(*out, strict=True)
+        return _intervals(np.array(doc, np.int64), np.array(th, np.uint64), np.array(start), np.array(size), parts, REMOVED)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_part(batches):
             runs = [_run(b) for k, b in rows if k == RUN]
@@ -465,12 +469,14 @@ def _merge(parts: int):
                     if h < least and group:
                         out += _repeated(group)
                         group = []
+                        if len(out) >= 60_000:
+                            yield intervals(out)
+                            out = []
                     group.append((suffix, left, doc, th, start))
                 if group:
                     out += _repeated(group)
             if out:
-                doc, th, start, size = zip(*out, strict=True)
-                yield _intervals(np.array(doc, np.int64), np.array(th, np.uint64), np.array(start), np.array(size), parts, REMOVED)
+                yield intervals(out)
 
     return run
 
@@ -514,16 +520,6 @@ def _apply(names: list[str], with_kept: bool):
 _MADE = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
 
 
-def _task(run):
-    """``run`` as a task that gives its memory back."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        release()
-
-    return task
-
-
 def _dealt(df: DataFrame, parts: int) -> DataFrame:
     return df.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind")
 
@@ -541,15 +537,15 @@ def remove_repeats(docs: DataFrame, kept: bool = False, crowded: int = CROWDED)
     parts = partitions(spark)
     docs = docs.drop(*_MADE).withColumn("doc_id", F.col("doc_id").cast("long"))
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    first = Table(_dealt(narrow.mapInArrow(_task(_scan(parts)), _SCHEMA), parts).mapInArrow(_task(_match(parts, crowded)), _SCHEMA), "stretches")
-    homes = narrow.mapInArrow(_task(_texts_home(parts)), _SCHEMA)
-    suffixes = _dealt(first.df.where(F.col("kind") == CANDIDATE).union(homes), parts).mapInArrow(_task(_extract(parts)), _SCHEMA)
-    second = Table(_dealt(suffixes, parts).mapInArrow(_task(_merge(parts)), _SCHEMA), "windows")
+    first = Table(_dealt(narrow.mapInArrow(task(_scan(parts)), _SCHEMA), parts).mapInArrow(task(_match(parts, crowded)), _SCHEMA), "stretches")
+    homes = narrow.mapInArrow(task(_texts_home(parts)), _SCHEMA)
+    suffixes = _dealt(first.df.where(F.col("kind") == CANDIDATE).union(homes), parts).mapInArrow(task(_extract(parts)), _SCHEMA)
+    second = Table(_dealt(suffixes, parts).mapInArrow(task(_merge(parts)), _SCHEMA), "windows")
     removed = first.df.where(F.col("kind") == REMOVED).union(second.df)
-    rows = docs.mapInArrow(_task(_texts_home(parts)), _SCHEMA)
+    rows = docs.mapInArrow(task(_texts_home(parts)), _SCHEMA)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     made = ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept binary", "kept_text string"] * kept
-    return _dealt(removed.union(rows), parts).mapInArrow(_task(_apply(docs.columns, kept)), ", ".join(fields + made))
+    return _dealt(removed.union(rows), parts).mapInArrow(task(_apply(docs.columns, kept)), ", ".join(fields + made))
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
