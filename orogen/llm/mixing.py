@@ -3,15 +3,17 @@
 Time is counted in blocks. With weight w, a source's block j (from 0) is released at
 floor(j / w) and due at ceil((j + 1) / w); serving the released block with the earliest
 deadline keeps every source less than one block away from its share at every moment.
-Weights are fractions of a period, so one period's schedule, a bounded table, places all
-blocks: block j lies (j div blocks-per-period) periods after block (j mod blocks-per-period).
-When a source runs out, the others go on with their weights scaled up (the next phase), so
-every document is placed exactly once.
+Weights are taken as exact fractions and blocks counted over the whole phase, so the bound
+holds against the given weights however long the input. The driver places all blocks: three
+numbers for each block of rows, no rows. When a source runs out, the others go on with
+their weights scaled up (the next phase), so every document is placed exactly once.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,66 +21,72 @@ from pyspark.sql import functions as F
 from .common import global_index, read
 
 BLOCK = 64
+#: Blocks in a row of the placement table.
 PERIOD = 1000
 #: Placement tables beyond this many entries are joined by a shuffle, not broadcast.
 BROADCAST_SLOTS = 1 << 20
 
 
-def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole blocks of a period for each source, by largest remainder, one at least."""
-    period = max(period, len(weights))
-    total = sum(weights.values())
-    exact = {s: period * w / total for s, w in weights.items()}
-    whole = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (-(exact[s] - whole[s]), s))
-    spare = period - sum(whole.values())
-    for s in order[: max(0, spare)]:
-        whole[s] += 1
-    while spare < 0:  # sources of less than a block were rounded up
-        s = max((x for x in whole if whole[x] > 1), key=lambda x: (whole[x] - exact[x], x))
-        whole[s] -= 1
-        spare += 1
-    return whole
-
-
-def period_schedule(share: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one period: earliest deadline first among released blocks."""
-    period = sum(share.values())
+def shares(weights: dict[str, float], least: int = 1) -> dict[str, int]:
+    """Whole numbers in the exact proportions of the weights, each ``least`` or more."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    whole = {s: int(x * scale) for s, x in exact.items()}
+    more = -(-least // min(whole.values()))
+    return {s: n * more for s, n in whole.items()}
+
+
+def phase_schedule(share: dict[str, int], left: dict[str, int]) -> dict[str, list[int]]:
+    """The slots of each source's blocks until one has none left: earliest deadline first among released blocks."""
+    whole = sum(share.values())
     slots: dict[str, list[int]] = {s: [] for s in share}
     waiting = [(0, s) for s in sorted(share)]  # (release, source) of each source's next block
     heapq.heapify(waiting)
     ready: list[tuple[int, str]] = []
-    for t in range(period):
+    t = 0
+    while True:
         while waiting and waiting[0][0] <= t:
             _, s = heapq.heappop(waiting)
-            j = len(slots[s])
-            heapq.heappush(ready, (-(-(j + 1) * period // share[s]), s))
+            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * whole // share[s]), s))
         _, s = heapq.heappop(ready)
         slots[s].append(t)
-        if len(slots[s]) < share[s]:
-            heapq.heappush(waiting, (len(slots[s]) * period // share[s], s))
-    return slots
+        if len(slots[s]) == left[s]:
+            return slots
+        heapq.heappush(waiting, (len(slots[s]) * whole // share[s], s))
+        t += 1
 
 
 def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[tuple]:
-    """Rows (source, phase, first block, end block, start time, share, period, slots)."""
+    """Rows (source, phase, first block, end block, start time, share, sum of shares, slots).
+
+    The shares are in the proportions of the weights and beyond ``period`` and any source's blocks.
+    """
     left, done, rows, start, phase = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), [], 0, 0
     while left:
-        share = shares({s: weights[s] for s in left}, period)
-        whole, slots = sum(share.values()), period_schedule(share)
-
-        def served(s: str, t: int) -> int:
-            return t // whole * share[s] + sum(x < t % whole for x in slots[s])
-
-        end = min((left[s] - 1) // share[s] * whole + slots[s][(left[s] - 1) % share[s]] + 1 for s in left)
+        share = shares({s: weights[s] for s in left}, max(period, *left.values()))
+        whole, slots = sum(share.values()), phase_schedule(share, left)
         for s in list(left):
-            n = served(s, end)
+            n = len(slots[s])
             rows.append((s, phase, done[s], done[s] + n, start, share[s], whole, slots[s]))
             done[s] += n
             left[s] -= n
             if not left[s]:
                 del left[s]
-        start, phase = start + end, phase + 1
+        start, phase = start + sum(map(len, slots.values())), phase + 1
+    return rows
+
+
+def placements(plan: list[tuple], period: int = PERIOD) -> list[tuple]:
+    """Rows (source, chunk, phase, first block, end block, slots, releases, deadlines): those of ``phases``, cut at each ``period`` blocks of a source."""
+    rows = []
+    for s, phase, b0, b1, start, share, whole, slots in plan:
+        for chunk in range(b0 // period, -(-b1 // period) if b1 > b0 else 0):
+            lo, hi = max(b0, chunk * period), min(b1, (chunk + 1) * period)
+            at = range(lo - b0, hi - b0)
+            rows.append((
+                s, chunk, phase, lo, hi, [start + slots[j] for j in at],
+                [start + j * whole // share for j in at], [start - (-(j + 1) * whole // share) for j in at],
+            ))
     return rows
 
 
@@ -90,6 +98,7 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: in
     to blocks in an order of hashes. ``weights`` (default: the square root of a source's
     rows) must name every source; a null source is the source ''. Only one count for each
     source reaches the driver; the number of sources is taken to be in the thousands at most.
+    ``period``: blocks in a row of the placement table, without effect on the schedule.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -102,17 +111,20 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: in
     missing = sorted(set(count) - set(weights))
     if missing or any(weights[s] <= 0 for s in count):
         raise ValueError(f"no positive weight for sources {missing or 'given'}")
-    plan = phases({s: -(-n // block) for s, (_, n) in count.items()}, weights, period)
-    plan = [(s, count[s][0], *rest) for s, *rest in plan]
-    table = spark.createDataFrame(plan, "source string, first long, phase int, b0 long, b1 long, t0 long, share long, period long, slots array<int>")
+    plan = placements(phases({s: -(-n // block) for s, (_, n) in count.items()}, weights, period), period)
+    table = spark.createDataFrame(
+        plan,
+        "of string, chunk long, phase int, b0 long, b1 long, slots array<long>, releases array<long>, deadlines array<long>",
+    )
     if sum(len(r[-1]) for r in plan) <= BROADCAST_SLOTS:
         table = F.broadcast(table)
-    j = F.col("block") - F.col("b0")
-    placed = ranked.join(table.withColumnRenamed("source", "of"), (F.col("source") == F.col("of")) & F.expr(f"(at - first) div {block} >= b0 and (at - first) div {block} < b1"))
-    placed = placed.withColumn("block", F.expr(f"(at - first) div {block}")).withColumn("rank", F.expr(f"(at - first) % {block}")).withColumn("j", j)
+    starts = F.broadcast(spark.createDataFrame([(s, first) for s, (first, _) in count.items()], "name string, base long"))
+    ranked = ranked.join(starts, F.col("source") == F.col("name")).withColumn("block", F.expr(f"(at - base) div {block}"))
+    placed = ranked.join(table, (F.col("source") == F.col("of")) & F.expr(f"block div {period} = chunk and block >= b0 and block < b1"))
+    j = "cast(block - b0 as int)"
     return placed.select(
-        "doc_id", "source", "key", "phase", "block", F.expr("t0 + (j div share) * period + slots[cast(j % share as int)]").alias("slot"), "rank",
-        F.expr("t0 + (j * period) div share").alias("release"), F.expr("t0 + ((j + 1) * period + share - 1) div share").alias("deadline"),
+        "doc_id", "source", "key", "phase", "block", F.expr(f"slots[{j}]").alias("slot"), F.expr(f"(at - base) % {block}").alias("rank"),
+        F.expr(f"releases[{j}]").alias("release"), F.expr(f"deadlines[{j}]").alias("deadline"),
     )
 
 

@@ -231,6 +231,21 @@ def test_pfair():
             assert all(abs(count[q] - w * (t + 1 - t0)) < 1 for q, (w, t0) in share.items())
 
 
+def test_pfair_holds_given_weights_over_many_periods():
+    weights = {"third": 1 / 3} | {f"s{i}": 2 / 57 for i in range(19)} | {"rare": 0.0004}
+    blocks = {s: 20_000 if s == "third" else 5_000 for s in weights}
+    total = sum(weights.values())
+    rows = [r for r in mixing.placements(mixing.phases(blocks, weights)) if r[2] == 0]
+    seq = sorted((slot, r[0], release, due) for r in rows for slot, release, due in zip(*r[5:], strict=True))
+    assert [q[0] for q in seq] == list(range(len(seq))) and len(seq) > 50 * mixing.PERIOD
+    assert all(release <= slot < due for slot, _, release, due in seq)
+    count = Counter()
+    for slot, s, _, _ in seq:
+        count[s] += 1
+        if slot % 97 == 0 or slot == len(seq) - 1:
+            assert all(abs(count[q] - w / total * (slot + 1)) < 1 for q, w in weights.items())
+
+
 def test_mixing_keeps_every_row(docs, rows):
     out = mixing.schedule(docs, block=4, period=20).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(r[0] for r in rows)
