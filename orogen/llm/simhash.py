@@ -121,8 +121,21 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     return prints.join(member, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Independent fingerprints of single words that ``similar_documents`` searches.
-TABLES = 4
+#: Bands of ``similar_documents`` and least hashes in each: a pair of similarity 0.8 shares no band once in 300,000 times ((1 - 0.8^5)^32).
+BANDS, BAND_ROWS = 32, 5
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_JOIN = np.random.default_rng(SEED + 1).integers(0, 1 << 63, (BANDS, BAND_ROWS + 1), np.uint64) * np.uint64(2) + np.uint64(1)
+_PART = 256
+
+
+def bands(own: set[bytes]) -> np.ndarray:
+    """A text's bands: hashes of BAND_ROWS least values each, of its shingles' hashes under independent multipliers."""
+    h = np.frombuffer(b"".join(own), np.uint64)
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(h), _PART):
+        np.minimum(least, (h[at : at + _PART, None] * _ODD).min(axis=0), out=least)
+    least ^= least >> np.uint64(29)
+    return ((least.reshape(BANDS, BAND_ROWS) * _JOIN[:, 1:]).sum(axis=1, dtype=np.uint64) + _JOIN[:, 0]).view(np.int64)
 
 
 #: Bins of the sketch that screens pairs before their texts are compared, agreeing bins asked for, and shingles below which it is not asked.
@@ -138,17 +151,14 @@ def _sketch(own: set[bytes]) -> tuple[int, int]:
     return tuple(np.bitwise_or.reduce(nibbles, axis=1).view(np.int64).tolist())
 
 
-def _word_prints(tables: int, words: int):
+def _band_prints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data = texts(batch)
             same = pa.array([xxhash.xxh3_128_digest(t) for t in data], pa.binary())
-            fps = [np.array([simhash(t, 1, SEED + k) for t in data], np.uint64).view(np.int64).tolist() for k in range(tables)]
-            rows = pa.array([list(r) for r in zip(*fps, strict=True)], pa.list_(pa.int64()))
-            sets = (shingles(t, words) for t in data)
-            sketch = [(len(own), *_sketch(own)) for own in sets]
-            made = [pa.array([r[i] for r in sketch], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, rows, *made], ["doc_id", "same", "fps", "n", "s0", "s1"])
+            made = [(bands(own).tolist(), len(own), *_sketch(own)) for own in (shingles(t, words) for t in data)]
+            rows = [pa.array([r[i] for r in made], pa.int64() if i else pa.list_(pa.int64())) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, *rows], ["doc_id", "same", "bands", "n", "s0", "s1"])
 
     return run
 
@@ -187,15 +197,15 @@ def _verified(words: int, least: float):
     return run
 
 
-def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = TABLES) -> DataFrame:
+def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """Rows (doc_id, same, component_id): groups of documents linked by a shingle similarity of ``least`` or more.
 
-    SimHash bits of word shingles lie far apart at a Jaccard similarity of 0.8 (ten bits
-    of 64 on average), those of single words close together. Candidates are texts with at
-    most 2 differing bits in one of ``tables`` independent single-word fingerprints, found by
-    the same grid join; the exact Jaccard similarity of their word shingles decides.
-    Equal texts form one class (``same``). At a grid point with more than CROWDED
-    classes, each is compared with the point's least and greatest document only, which
+    SimHash bits lie too far apart at a Jaccard similarity of 0.8 (ten bits of 64 on
+    average for word shingles; single words after appended or cut text). Candidates are
+    texts that share a band of least hashes of their word shingles, the chance of which
+    depends on the similarity alone, however it came about; the exact Jaccard similarity decides.
+    Equal texts form one class (``same``). At a band with more than CROWDED
+    classes, each is compared with the band's least and greatest document only, which
     join the group's members there without listing its pairs. Before texts meet, pairs
     whose shingle counts or sketches rule the similarity out are left (a pair at 0.8 fails
     the sketch once in tens of thousands).
@@ -203,17 +213,13 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, table
     ``docs``: doc_id (not null, else the row is left out) and text (null: empty).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    prints = written(rows.mapInArrow(task(_word_prints(tables, words)), "doc_id long, same binary, fps array<long>, n long, s0 long, s1 long"), "prints")
-    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("fps", "n", "s0", "s1")]), "classes")
-    points = classes.select("rep", F.posexplode("fps").alias("tbl", "fp"))
-    points = points.select("rep", "tbl", F.explode(_near_points(cell(F.col("fp")))).alias("point"))
-    points = points.select("rep", F.xxhash64("tbl", "point").alias("spot"))  # two longs a row; a collision only adds candidates
+    prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long, s0 long, s1 long"), "prints")
+    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n", "s0", "s1")]), "classes")
+    points = classes.select("rep", F.explode("bands").alias("spot"))
     counts = points.groupBy("spot").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     shared = written(points.join(counts, "spot"), "points")
-    calm = shared.where(F.col("met") <= CROWDED).join(classes.select("rep", "fps"), "rep").select("spot", "rep", "fps")
-    near = calm.withColumnsRenamed({"rep": "a", "fps": "fa"}).join(calm.withColumnsRenamed({"rep": "b", "fps": "fb"}), "spot")
-    bits = F.least(*[F.bit_count(F.col("fa")[t].bitwiseXOR(F.col("fb")[t])) for t in range(tables)]) if tables > 1 else F.bit_count(F.col("fa")[0].bitwiseXOR(F.col("fb")[0]))
-    near = near.where((F.col("a") > F.col("b")) & (bits <= 2)).select("a", "b")
+    calm = shared.where(F.col("met") <= CROWDED).select("spot", "rep")
+    near = calm.withColumnRenamed("rep", "a").join(calm.withColumnRenamed("rep", "b"), "spot").where("a > b").select("a", "b")
     crowd = shared.where(F.col("met") > CROWDED)
     ends = crowd.groupBy("spot").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
     crowd = crowd.join(ends, "spot").select(F.col("rep").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b")

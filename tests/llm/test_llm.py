@@ -105,6 +105,28 @@ def test_similar_documents(spark):
     assert got == {i: (i if i < 12 or i >= 24 else i - 12) for i in range(36)}
 
 
+EDITS = {
+    "appended": lambda rnd, t: t + prose(rnd, len(t) // 5).split(),
+    "truncated": lambda rnd, t: t[: len(t) * 85 // 100],
+    "block": lambda rnd, t: t[: len(t) // 2] + prose(rnd, len(t) * 8 // 100).split() + t[len(t) // 2 + len(t) * 8 // 100 :],
+}
+
+
+def jaccard(a, b):
+    x, y = (simhash.shingles(t.encode(), 5) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_similar_documents_finds_contiguous_edits(spark):
+    rnd = random.Random(11)
+    pairs = [(t, " ".join(edit(rnd, t.split()))) for edit in EDITS.values() for t in (prose(rnd, rnd.randrange(60, 600)) for _ in range(30))]
+    pairs = [(a, b) for a, b in pairs if jaccard(a, b) >= 0.8]
+    assert len(pairs) > 70
+    table = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(table).collect()}
+    assert got == {i: i - i % 2 for i in range(2 * len(pairs))}
+
+
 def brute_removal(rows):
     first = {}
     for i, t in rows:
