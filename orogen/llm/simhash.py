@@ -197,6 +197,21 @@ def _verified(words: int, least: float):
     return run
 
 
+def _similar_pairs(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
+    """Those of ``pairs`` (a, b: rep of classes) whose texts have a similarity of ``least`` or more."""
+    kinds = classes.select("rep", "n", "s0", "s1")
+    for p in "ab":
+        pairs = pairs.join(kinds.withColumnsRenamed({"rep": p, "n": f"n{p}", "s0": f"s0{p}", "s1": f"s1{p}"}), p)
+    apart = _differing(F.col("s0a"), F.col("s0b")) + _differing(F.col("s1a"), F.col("s1b"))
+    fits = (F.least("na", "nb") >= least * F.greatest("na", "nb")) & ((F.least("na", "nb") < SKETCH_LEAST) | (apart <= SKETCH_BINS - SKETCH_AGREE))
+    pairs = written(pairs.where(fits).select("a", "b"), "pairs")
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = written(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    first, second = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    return written(both.mapInArrow(task(_verified(words, least)), "a long, b long"), "similar")
+
+
 def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """Rows (doc_id, same, component_id): groups of documents linked by a shingle similarity of ``least`` or more.
 
@@ -204,9 +219,10 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     average for word shingles; single words after appended or cut text). Candidates are
     texts that share a band of least hashes of their word shingles, the chance of which
     depends on the similarity alone, however it came about; the exact Jaccard similarity decides.
-    Equal texts form one class (``same``). At a band with more than CROWDED
-    classes, each is compared with the band's least and greatest document only, which
-    join the group's members there without listing its pairs. Before texts meet, pairs
+    Equal texts form one class (``same``). Every pair of classes that share a band is
+    decided, most without listing it: first all members of a band meet its least document
+    (in a band of more than CROWDED also others), then those that are not yet connected
+    meet each other. Before texts meet, pairs
     whose shingle counts or sketches rule the similarity out are left (a pair at 0.8 fails
     the sketch once in tens of thousands).
 
@@ -218,23 +234,22 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     points = classes.select("rep", F.explode("bands").alias("spot"))
     counts = points.groupBy("spot").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     shared = written(points.join(counts, "spot"), "points")
-    calm = shared.where(F.col("met") <= CROWDED).select("spot", "rep")
-    near = calm.withColumnRenamed("rep", "a").join(calm.withColumnRenamed("rep", "b"), "spot").where("a > b").select("a", "b")
-    crowd = shared.where(F.col("met") > CROWDED)
-    ends = crowd.groupBy("spot").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-    crowd = crowd.join(ends, "spot").select(F.col("rep").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a <> b")
-    pairs = near.union(crowd).distinct()
-    kinds = classes.select("rep", "n", "s0", "s1")
+    least_hash = [F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(2)]
+    hubs = shared.groupBy("spot").agg(F.min("rep").alias("hub"), F.array_distinct(F.array(F.max("rep"), *least_hash)).alias("more"))
+    stars = shared.join(hubs, "spot").select("rep", F.explode(F.when(F.col("met") > CROWDED, F.array_union(F.array("hub"), "more")).otherwise(F.array("hub"))).alias("hub"))
+    stars = stars.where("rep <> hub").select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
+    stars = written(stars, "stars")
+    links = _similar_pairs(rows, classes, stars, words, least)
+    roots = written(components(links, "root"), "roots")
+    placed = written(shared.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("spot", "rep", F.coalesce("root", "rep").alias("root")), "points")
+    open_spots = placed.groupBy("spot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("spot")
+    placed = written(placed.join(open_spots, "spot"), "points")
+    cells = placed.select("spot", "root").distinct()
+    cells = cells.withColumnRenamed("root", "ra").join(cells.withColumnRenamed("root", "rb"), "spot").where("ra < rb")
     for p in "ab":
-        pairs = pairs.join(kinds.withColumnsRenamed({"rep": p, "n": f"n{p}", "s0": f"s0{p}", "s1": f"s1{p}"}), p)
-    apart = _differing(F.col("s0a"), F.col("s0b")) + _differing(F.col("s1a"), F.col("s1b"))
-    fits = (F.least("na", "nb") >= least * F.greatest("na", "nb")) & ((F.least("na", "nb") < SKETCH_LEAST) | (apart <= SKETCH_BINS - SKETCH_AGREE))
-    pairs = written(pairs.where(fits).select("a", "b"), "pairs")
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = written(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    first, second = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-    links = written(both.mapInArrow(task(_verified(words, least)), "a long, b long"), "similar")
+        cells = cells.join(placed.withColumnsRenamed({"rep": p, "root": f"r{p}"}), ["spot", f"r{p}"])
+    rest = cells.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    links = links.union(_similar_pairs(rows, classes, rest, words, least))
     roots = components(links, "component_id").withColumnRenamed("node", "rep")
     member = classes.select("same", "rep").join(roots, "rep", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"))
     return prints.select("doc_id", "same").join(member, "same").select("doc_id", "same", "component_id")

@@ -127,6 +127,23 @@ def test_similar_documents_finds_contiguous_edits(spark):
     assert got == {i: i - i % 2 for i in range(2 * len(pairs))}
 
 
+def test_similar_documents_compares_crowded_bands(spark):
+    rnd = random.Random(12)
+    rows = [" | ".join(prose(rnd, 60).split()) for _ in range(90)]
+    rows += [" | ".join("edited" if k == 30 else w for k, w in enumerate(t.split(" | "))) for t in rows[5:85]]
+    common = prose(rnd, 60)
+    rows += [f"{common} {prose(rnd, 14)}" for _ in range(120)]  # similar to each other, less than 0.8
+    rows += [f"{t} end" for t in rows[200:230]] + [prose(rnd, 80)]
+    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    label = list(range(len(rows)))
+    near = [(i, j) for j in range(len(rows)) for i in range(j) if jaccard(rows[i], rows[j]) >= 0.8]
+    for _ in range(4):
+        for i, j in near:
+            label[i] = label[j] = min(label[i], label[j])
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(table).collect()}
+    assert len(near) >= 110 and got == dict(enumerate(label))
+
+
 def brute_removal(rows):
     first = {}
     for i, t in rows:
