@@ -138,39 +138,18 @@ def bands(own: set[bytes]) -> np.ndarray:
     return ((least.reshape(BANDS, BAND_ROWS) * _JOIN[:, 1:]).sum(axis=1, dtype=np.uint64) + _JOIN[:, 0]).view(np.int64)
 
 
-#: Bins of the sketch that screens pairs before their texts are compared, agreeing bins asked for, and shingles below which it is not asked.
-SKETCH_BINS, SKETCH_AGREE, SKETCH_LEAST = 32, 18, 128
-
-
-def _sketch(own: set[bytes]) -> tuple[int, int]:
-    """Four bits of the least hash in each of 32 bins, as two signed longs (one-permutation hashing)."""
-    h = np.frombuffer(b"".join(own), np.uint64)
-    least = np.full(SKETCH_BINS, np.iinfo(np.uint64).max)
-    np.minimum.at(least, (h & np.uint64(SKETCH_BINS - 1)).astype(np.int64), h >> np.uint64(5))
-    nibbles = (least & np.uint64(15)).reshape(2, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
-    return tuple(np.bitwise_or.reduce(nibbles, axis=1).view(np.int64).tolist())
-
-
 def _band_prints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data = texts(batch)
             same = pa.array([xxhash.xxh3_128_digest(t) for t in data], pa.binary())
-            made = [(bands(own).tolist(), len(own), *_sketch(own)) for own in (shingles(t, words) for t in data)]
-            rows = [pa.array([r[i] for r in made], pa.int64() if i else pa.list_(pa.int64())) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, *rows], ["doc_id", "same", "bands", "n", "s0", "s1"])
+            made = [(bands(own).tolist(), len(own)) for own in (shingles(t, words) for t in data)]
+            rows = [pa.array([r[i] for r in made], pa.int64() if i else pa.list_(pa.int64())) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, *rows], ["doc_id", "same", "bands", "n"])
 
     return run
 
 
-def _differing(a: Column, b: Column) -> Column:
-    """Four-bit groups in which two longs differ."""
-    x = a.bitwiseXOR(b)
-    for k in (1, 2):
-        x = x.bitwiseOR(F.shiftrightunsigned(x, k))
-    return F.bit_count(x.bitwiseAND(_mask(0x1111111111111111)))
-
-
 def shingles(text: bytes, words: int) -> set[bytes]:
     """The distinct word shingles of a text, as hashes; the whole text if it has fewer words."""
     tokens = text.lower().split()
@@ -199,11 +178,10 @@ def _verified(words: int, least: float):
 
 def _similar_pairs(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
     """Those of ``pairs`` (a, b: rep of classes) whose texts have a similarity of ``least`` or more."""
-    kinds = classes.select("rep", "n", "s0", "s1")
+    kinds = classes.select("rep", "n")
     for p in "ab":
-        pairs = pairs.join(kinds.withColumnsRenamed({"rep": p, "n": f"n{p}", "s0": f"s0{p}", "s1": f"s1{p}"}), p)
-    apart = _differing(F.col("s0a"), F.col("s0b")) + _differing(F.col("s1a"), F.col("s1b"))
-    fits = (F.least("na", "nb") >= least * F.greatest("na", "nb")) & ((F.least("na", "nb") < SKETCH_LEAST) | (apart <= SKETCH_BINS - SKETCH_AGREE))
+        pairs = pairs.join(kinds.withColumnsRenamed({"rep": p, "n": f"n{p}"}), p)
+    fits = F.least("na", "nb") >= least * F.greatest("na", "nb")
     pairs = written(pairs.where(fits).select("a", "b"), "pairs")
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     wanted = written(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
@@ -223,14 +201,13 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     decided, most without listing it: first all members of a band meet its least document
     (in a band of more than CROWDED also others), then those that are not yet connected
     meet each other. Before texts meet, pairs
-    whose shingle counts or sketches rule the similarity out are left (a pair at 0.8 fails
-    the sketch once in tens of thousands).
+    whose shingle counts rule the similarity out are left.
 
     ``docs``: doc_id (not null, else the row is left out) and text (null: empty).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long, s0 long, s1 long"), "prints")
-    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n", "s0", "s1")]), "classes")
+    prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long"), "prints")
+    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n")]), "classes")
     points = classes.select("rep", F.explode("bands").alias("spot"))
     counts = points.groupBy("spot").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     shared = written(points.join(counts, "spot"), "points")

@@ -127,6 +127,16 @@ def test_similar_documents_finds_contiguous_edits(spark):
     assert got == {i: i - i % 2 for i in range(2 * len(pairs))}
 
 
+def test_similar_documents_screens_by_counts_only(spark):
+    rnd = random.Random(26685)  # a pair that agrees in less than 18 of 32 least hashes
+    words = [f"w{i}" for i in range(4000)]
+    text = rnd.choices(words, k=150)
+    pair = [" ".join(text), " ".join(text[:135] + rnd.choices(words, k=15))]
+    assert jaccard(*pair) >= 0.8
+    table = spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")
+    assert {r["component_id"] for r in simhash.similar_documents(table).collect()} == {0}
+
+
 def test_similar_documents_compares_crowded_bands(spark):
     rnd = random.Random(12)
     rows = [" | ".join(prose(rnd, 60).split()) for _ in range(90)]
