@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, slices, task, texts, written
+from .common import components, global_index, slices, task, texts, written
 
 SEED = 42
 SEGMENTS, SEGMENT_BITS = 16, 4
@@ -142,10 +142,9 @@ def _band_prints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data = texts(batch)
-            same = pa.array([xxhash.xxh3_128_digest(t) for t in data], pa.binary())
             made = [(bands(own).tolist(), len(own)) for own in (shingles(t, words) for t in data)]
             rows = [pa.array([r[i] for r in made], pa.int64() if i else pa.list_(pa.int64())) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), same, *rows], ["doc_id", "same", "bands", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), *rows], ["doc_id", "same", "bands", "n"])
 
     return run
 
@@ -177,21 +176,28 @@ def _verified(words: int, least: float):
 
 
 def _similar_pairs(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
-    """Those of ``pairs`` (a, b: rep of classes) whose texts have a similarity of ``least`` or more."""
-    kinds = classes.select("rep", "n")
+    """Those of ``pairs`` (a, b: nodes of classes) whose texts have a similarity of ``least`` or more."""
+    kinds = classes.select("node", "n")
     for p in "ab":
-        pairs = pairs.join(kinds.withColumnsRenamed({"rep": p, "n": f"n{p}"}), p)
+        pairs = pairs.join(kinds.withColumnsRenamed({"node": p, "n": f"n{p}"}), p)
     fits = F.least("na", "nb") >= least * F.greatest("na", "nb")
     pairs = written(pairs.where(fits).select("a", "b"), "pairs")
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = written(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    first, second = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    ends = classes.select("node", F.col("same").alias("of"), "rep").join(ends, "node")
+    wanted = rows.join(ends, (F.col("same") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+    wanted = written(wanted.dropDuplicates(["node"]), "texts")
+    first, second = (wanted.select(F.col("node").alias(p), F.col("text").alias(f"text_{p}")) for p in "ab")
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
     return written(both.mapInArrow(task(_verified(words, least)), "a long, b long"), "similar")
 
 
+def text_key(docs: DataFrame) -> Column:
+    """128 bits that stand for a row's text (null: empty)."""
+    return F.unhex(F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")))
+
+
 def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
-    """Rows (doc_id, same, component_id): groups of documents linked by a shingle similarity of ``least`` or more.
+    """Rows (doc_id, same, component_id, first): groups of documents linked by a shingle similarity of ``least`` or more.
 
     SimHash bits lie too far apart at a Jaccard similarity of 0.8 (ten bits of 64 on
     average for word shingles; single words after appended or cut text). Candidates are
@@ -203,33 +209,40 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     meet each other. Before texts meet, pairs
     whose shingle counts rule the similarity out are left.
 
-    ``docs``: doc_id (not null, else the row is left out) and text (null: empty).
+    ``docs``: doc_id and text (null: empty). A document is a pair of id and text, so rows of
+    one id with other texts, and rows without id, are documents of their own; ``first`` marks
+    the group's document of least id (null ids last), on each of its rows if it is repeated.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(docs).alias("same"), F.col("text").cast("string").alias("text"))
     prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long"), "prints")
-    classes = written(prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n")]), "classes")
-    points = classes.select("rep", F.explode("bands").alias("spot"))
+    kinds = prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n")])
+    kinds = written(kinds, "kinds")
+    nodes = global_index(kinds.select("same", "rep"), [F.col("rep").asc_nulls_last(), F.col("same")], "node")  # unique, in the order of rep
+    classes = written(kinds.join(nodes.select("same", "node"), "same"), "classes")
+    points = classes.select("node", F.explode("bands").alias("spot"))
     counts = points.groupBy("spot").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     shared = written(points.join(counts, "spot"), "points")
-    least_hash = [F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(2)]
-    hubs = shared.groupBy("spot").agg(F.min("rep").alias("hub"), F.array_distinct(F.array(F.max("rep"), *least_hash)).alias("more"))
-    stars = shared.join(hubs, "spot").select("rep", F.explode(F.when(F.col("met") > CROWDED, F.array_union(F.array("hub"), "more")).otherwise(F.array("hub"))).alias("hub"))
-    stars = stars.where("rep <> hub").select(F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
+    least_hash = [F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(2)]
+    hubs = shared.groupBy("spot").agg(F.min("node").alias("hub"), F.array_distinct(F.array(F.max("node"), *least_hash)).alias("more"))
+    stars = shared.join(hubs, "spot").select("node", F.explode(F.when(F.col("met") > CROWDED, F.array_union(F.array("hub"), "more")).otherwise(F.array("hub"))).alias("hub"))
+    stars = stars.where("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     stars = written(stars, "stars")
     links = _similar_pairs(rows, classes, stars, words, least)
     roots = written(components(links, "root"), "roots")
-    placed = written(shared.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("spot", "rep", F.coalesce("root", "rep").alias("root")), "points")
+    placed = written(shared.join(roots, "node", "left").select("spot", "node", F.coalesce("root", "node").alias("root")), "points")
     open_spots = placed.groupBy("spot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("spot")
     placed = written(placed.join(open_spots, "spot"), "points")
     cells = placed.select("spot", "root").distinct()
     cells = cells.withColumnRenamed("root", "ra").join(cells.withColumnRenamed("root", "rb"), "spot").where("ra < rb")
     for p in "ab":
-        cells = cells.join(placed.withColumnsRenamed({"rep": p, "root": f"r{p}"}), ["spot", f"r{p}"])
+        cells = cells.join(placed.withColumnsRenamed({"node": p, "root": f"r{p}"}), ["spot", f"r{p}"])
     rest = cells.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     links = links.union(_similar_pairs(rows, classes, rest, words, least))
-    roots = components(links, "component_id").withColumnRenamed("node", "rep")
-    member = classes.select("same", "rep").join(roots, "rep", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"))
-    return prints.select("doc_id", "same").join(member, "same").select("doc_id", "same", "component_id")
+    roots = components(links, "root")
+    member = classes.select("same", "node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    member = member.join(classes.select(F.col("node").alias("root"), F.col("rep").alias("component_id")), "root")
+    first = (F.col("root") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    return prints.select("doc_id", "same").join(member, "same").select("doc_id", "same", "component_id", first.alias("first"))
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

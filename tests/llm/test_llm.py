@@ -137,6 +137,17 @@ def test_similar_documents_screens_by_counts_only(spark):
     assert {r["component_id"] for r in simhash.similar_documents(table).collect()} == {0}
 
 
+def test_near_copies_keeps_null_ids_and_texts_of_one_id(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(13)
+    a, b, c, d = (prose(rnd, 80) for _ in range(4))
+    rows = [(None, a), (None, a), (None, b), (1, c), (1, d), (1, c), (2, c + " end"), (None, c), (3, d + " end"), (5, b + " end"), (4, None), (None, "")]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    got = corpus_pipeline.near_copies(spark, table, "").select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter([(None, a), (5, b + " end"), (1, c), (1, d), (4, None)])
+
+
 def test_similar_documents_compares_crowded_bands(spark):
     rnd = random.Random(12)
     rows = [" | ".join(prose(rnd, 60).split()) for _ in range(90)]
