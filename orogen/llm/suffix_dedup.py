@@ -8,17 +8,19 @@ stand for the rest without loss:
    choice that depends on the window's bytes alone. Consecutive windows of one gram form a
    *stretch* of at most 84 bytes, one for about 17 bytes of text. Equal windows are
    compared exactly when their stretches share the gram.
-2. Tasks sort their stretches by (gram hash, content hash) and exchange delta-coded runs.
-   Equal stretches in later documents are removed whole; a gram with several different
-   stretches sends one representative of each on (edges of copied passages, edits).
-3. For those, the suffixes at the gram are sorted into runs, front-coded, exchanged, and
+2. Tasks exchange the gram hashes of their stretches. This decides only which stretches stay
+   out of the sort: those whose gram no other document has. Stretches equal, byte for byte,
+   to one of an earlier document in the same part of a task go at once.
+3. The suffixes at the grams of all others are sorted into runs, front-coded, exchanged, and
    merged by loser trees that never compare a known prefix again (``lcp.merge``). Entries
-   that share the gram meet, and their windows are compared byte for byte. Stretches of
-   very common grams are sent window by window, so that no gram gathers in one task.
+   that share the gram meet; the merge's common prefixes, continued by bytes to the left of
+   the gram, tell which of their windows are equal. No byte goes on the word of a hash.
+   Stretches of very common grams are sent window by window, so that no gram gathers in one
+   task.
 4. Texts, compressed, meet their removed intervals.
 
-Whatever meets in a task is one partition's share of a hash. A key met in many documents
-is reduced to one document in each task before it is exchanged.
+Whatever meets in a task is one partition's share of a hash. A stretch met in many documents
+is reduced to its least document in each run before it is exchanged.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +40,13 @@ from .common import Table, pack, partitions, read, slices, task, texts, unpack
 from .lcp import front_code, front_decode, merge
 
 SPAN, GRAM = 50, 16
-#: Different stretches of one gram beyond which they are exchanged window by window.
+#: Stretches of one gram, after each run's own reduction, beyond which they are exchanged window by window.
 CROWDED = 4096
-_BUFFER = 1 << 20
+_BUFFER = 1 << 19
+#: Entries of a run.
+_RUN = 150_000
+#: Different stretches of one gram that are compared pair by pair, not by a table of windows.
+_FEW = 8
 #: Ranges of the gram hashes that a task sorts one after another.
 _RANGES = 4
 _FLUSH = 8 << 20
@@ -155,25 +162,25 @@ def _from_planes(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _split(home: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+def _split(home: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The homes that occur, each with its rows."""
     order = np.argsort(home, kind="stable")
-    bounds = np.searchsorted(home[order], np.arange(parts + 1))
-    for p in range(parts):
-        if bounds[p] < bounds[p + 1]:
-            yield p, order[bounds[p] : bounds[p + 1]]
+    cuts = np.flatnonzero(np.diff(home[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else ():
+        yield int(home[rows[0]]), rows
 
 
 def _intervals(doc, text_hash, start, size, parts: int, kind: int, *more: np.ndarray) -> pa.RecordBatch:
     """Intervals (with ``more`` columns), each to the home of its text."""
     homes, blobs = [], []
-    for p, rows in _split(_home(doc, text_hash, parts), parts):
+    for p, rows in _split(_home(doc, text_hash, parts)):
         homes.append(p)
         blobs.append(pack([x[rows] for x in (doc, text_hash, start.astype(np.uint32), size.astype(np.uint32), *more)]))
     return _rows(homes, kind, blobs)
 
 
 def _gather(blobs: list[bytes]) -> list[np.ndarray]:
-    """The columns of several interval blobs, sorted by text."""
+    """The columns of several interval blobs, sorted by text and place."""
     cols = [np.concatenate(c) for c in zip(*map(unpack, blobs), strict=True)]
     order = np.lexsort((cols[2], cols[1], cols[0]))
     return [c[order] for c in cols]
@@ -191,16 +198,28 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[
 KEEP, REMOVED, CANDIDATE, TEXT, RUN = 0, 1, 2, 3, 4
 
 
+def _equal(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` (SPAN or more) bytes of ``buf`` at ``a`` and at ``b`` are the same."""
+    words = np.lib.stride_tricks.as_strided(buf.view(np.uint8), (max(0, len(buf) - 7), 8), (1, 1))
+    same = np.ones(len(a), bool)
+    for k in range(0, 2 * SPAN - GRAM, 8):
+        rows = np.flatnonzero(same & (size > k))
+        at = np.minimum(k, size[rows].astype(np.int64) - 8)  # the last eight bytes overlap others
+        same[rows] = (words[a[rows] + at] == words[b[rows] + at]).all(axis=1)
+    return same
+
+
 def _scan(parts: int):
-    """Texts to sorted runs of stretches, by gram; what equals an earlier document of the same run is decided here."""
+    """Texts to sorted runs of stretches, by gram; what equals an earlier document of the same run is decided here, by bytes."""
 
-    def flush(found: list[Stretches], docs: list[int], hashes: list[int]) -> Iterator[pa.RecordBatch]:
+    def flush(found: list[Stretches], docs: list[int], hashes: list[int], data: list[bytes]) -> Iterator[pa.RecordBatch]:
         if not found:
             return
         doc, th = np.array(docs, np.int64), np.array(hashes, np.uint64)
         number, start, size, offset, gram, content = (
             np.concatenate([getattr(s, c) for s in found]) for c in ("number", "start", "size", "offset", "gram", "content")
         )
+        found.clear()
         order = np.lexsort((doc[number], content, gram))
         number, start, size, offset, gram, content = (x[order] for x in (number, start, size, offset, gram, content))
         first = np.ones(len(gram), bool)
@@ -208,23 +227,22 @@ def _scan(parts: int):
         head = np.flatnonzero(first)[np.cumsum(first) - 1]
         late = doc[number] > doc[number[head]]
         if late.any():
+            base = np.cumsum([0, *map(len, data)])[:-1]
+            at, rows = base[number] + start, np.flatnonzero(late)
+            late[rows] = _equal(np.frombuffer(b"".join(data), np.uint8), at[rows], at[head[rows]], size[rows])
             yield _intervals(doc[number[late]], th[number[late]], start[late], size[late], parts, REMOVED)
         keep = ~late
-        number, start, size, offset, gram, content = (x[keep] for x in (number, start, size, offset, gram, content))
-        bounds = np.searchsorted(gram, _edges(parts)).tolist() + [len(gram)]
+        number, start, size, offset, gram = (x[keep] for x in (number, start, size, offset, gram))
         homes, blobs = [], []
-        for p in range(parts):
-            a, b = bounds[p], bounds[p + 1]
-            if a < b:
-                used, local = np.unique(number[a:b], return_inverse=True)
-                kind = np.uint16 if len(used) < 65536 else np.uint32
-                top = (content[a:b] >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-                homes.append(p)
-                blobs.append(pack([b - a, doc[used], th[used], local.astype(kind), start[a:b].astype(np.uint32), size[a:b], offset[a:b], _planes(gram[a:b]), top]))
+        for p, rows in _split(_share(gram, parts)):
+            used, local = np.unique(number[rows], return_inverse=True)
+            kind = np.uint16 if len(used) < 65536 else np.uint32
+            homes.append(p)
+            blobs.append(pack([len(rows), doc[used], th[used], local.astype(kind), start[rows].astype(np.uint32), size[rows], offset[rows], _planes(gram[rows])]))
         yield _rows(homes, KEEP, blobs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, docs, hashes, held = [], [], [], 0
+        found, docs, hashes, kept, held = [], [], [], [], 0
         for batch in slices(batches):
             ids, data = batch.column("doc_id").to_pylist(), texts(batch)
             at = 0
@@ -235,69 +253,56 @@ def _scan(parts: int):
                         part.append((len(docs), data[at]))
                         docs.append(ids[at])
                         hashes.append(xxhash.xxh3_64_intdigest(data[at]))
+                        kept.append(data[at])
                         size += len(data[at])
                     at += 1
                 found += _stretches(part)
                 held += size
                 if held >= _FLUSH:
-                    yield from flush(found, docs, hashes)
-                    found, docs, hashes, held = [], [], [], 0
-        yield from flush(found, docs, hashes)
+                    yield from flush(found, docs, hashes, kept)
+                    found, docs, hashes, kept, held = [], [], [], [], 0
+        yield from flush(found, docs, hashes, kept)
 
     return run
 
 
-def _edges(parts: int) -> np.ndarray:
-    """Lower bounds of the partitions' shares of the gram hashes."""
-    return np.array([(p << 64) // parts for p in range(parts)], np.uint64)
+def _share(gram: np.ndarray, parts: int) -> np.ndarray:
+    """The partition in which a gram's stretches meet: contiguous shares of the hashes."""
+    return ((gram >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def _match(parts: int, crowded: int):
-    """Runs of one share of the grams to removed intervals and candidates."""
+    """Runs of one share of the grams to the stretches left to compare: those whose gram another document has too."""
 
     def decide(blobs: list[bytes], part: int) -> Iterator[pa.RecordBatch]:
         runs = []
         for blob in blobs:
-            n, doc, th, local, start, size, offset, planes, top = unpack(blob)
-            content = np.zeros((n, 8), np.uint8)
-            content[:, :5] = np.frombuffer(top, np.uint8).reshape(n, 5)
-            runs.append((_from_planes(planes, n), content.view(np.uint64).ravel(), local, doc, th, start, size, offset))
-        low, high = (part << 64) // parts, ((part + 1) << 64) // parts
-        removed, open_ = [], []
+            n, doc, th, local, start, size, offset, planes = unpack(blob)
+            runs.append((_from_planes(planes, n), local, doc, th, start, size, offset))
+        low, high = -(-(part << 64) // parts), -(-((part + 1) << 64) // parts)
         for k in range(_RANGES):
-            ends = np.array([low + (high - low) * i // _RANGES for i in (k, k + 1)], object)
-            cols = [[] for _ in range(7)]
-            for gram, content, local, doc, th, start, size, offset in runs:
-                a = np.searchsorted(gram, np.uint64(ends[0]))
-                b = len(gram) if ends[1] >> 64 else np.searchsorted(gram, np.uint64(ends[1]))
-                own = local[a:b]
-                for col, x in zip(cols, (gram[a:b], content[a:b], doc[own], th[own], start[a:b], size[a:b], offset[a:b]), strict=True):
+            a, b = (low + (high - low) * i // _RANGES for i in (k, k + 1))
+            cols = [[] for _ in range(6)]
+            for gram, local, doc, th, start, size, offset in runs:
+                i = np.searchsorted(gram, np.uint64(a)) if k else 0
+                j = np.searchsorted(gram, np.uint64(b)) if k < _RANGES - 1 else len(gram)
+                own = local[i:j]
+                for col, x in zip(cols, (gram[i:j], doc[own], th[own], start[i:j], size[i:j], offset[i:j]), strict=True):
                     col.append(x)
             if any(map(len, cols[0])):
-                late, apart = resolve([np.concatenate(c) for c in cols])
-                removed.append(late)
-                open_.append(apart)
-        for kind, found in ((REMOVED, removed), (CANDIDATE, open_)):
-            if any(len(f[0]) for f in found):
-                doc, th, start, size, *more = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield _intervals(doc, th, start, size, parts, kind, *more)
-
-    def resolve(cols: list[np.ndarray]) -> tuple[tuple, tuple]:
-        """Intervals of the stretches that an earlier document has, and of those left to compare."""
-        order = np.lexsort((cols[2], cols[1], cols[0]))
-        gram, content, doc, th, start, size, offset = (x[order] for x in cols)
-        new_gram = np.ones(len(gram), bool)
-        new_gram[1:] = gram[1:] != gram[:-1]
-        new = new_gram.copy()
-        new[1:] |= content[1:] != content[:-1]
-        late = doc > doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        group = np.cumsum(new_gram) - 1
-        heads = np.flatnonzero(new_gram)
-        different = np.add.reduceat(new.astype(np.int64), heads)
-        least, most = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
-        left = ((different > 1) & (least < most))[group] & ~late
-        apart = (different > crowded)[group][left]
-        return (doc[late], th[late], start[late], size[late]), (doc[left], th[left], start[left], size[left], offset[left], apart)
+                doc, th, start, size, *more = resolve([np.concatenate(c) for c in cols])
+                if len(doc):
+                    yield _intervals(doc, th, start, size, parts, CANDIDATE, *more)
+
+    def resolve(cols: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        order = np.argsort(cols[0], kind="stable")
+        gram, doc, th, start, size, offset = (x[order] for x in cols)
+        new = np.ones(len(gram), bool)
+        new[1:] = gram[1:] != gram[:-1]
+        heads, group = np.flatnonzero(new), np.cumsum(new) - 1
+        left = (np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads))[group]
+        apart = (np.diff(np.append(heads, len(gram))) > crowded)[group]
+        return tuple(x[left] for x in (doc, th, start, size, offset, apart))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
@@ -321,7 +326,7 @@ def _texts_home(parts: int):
         data = texts(table.to_batches()[0])
         docs = np.array([d or 0 for d in table.column("doc_id").to_pylist()], np.int64)
         homes, blobs = [], []
-        for p, rows in _split(_home(docs, _hashes(data), parts), parts):
+        for p, rows in _split(_home(docs, _hashes(data), parts)):
             sink = pa.BufferOutputStream()
             share = table.take(pa.array(rows))
             with pa.ipc.new_stream(sink, share.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -370,24 +375,44 @@ class _Known:
 
 
 def _extract(parts: int):
-    """Candidates and texts of a home to front-coded sorted suffix runs for the merging tasks."""
+    """Candidates and texts of a home to front-coded sorted suffix runs for the merging tasks.
 
-    def flush(entries: dict[tuple[int, bool], list]) -> Iterator[pa.RecordBatch]:
+    Equal stretches of a run (bytes and place of the gram) are one entry, that of the least
+    document; those of its other documents go at once.
+    """
+
+    def flush(entries: dict[tuple[bytes, int], list[int]]) -> Iterator[pa.RecordBatch]:
+        runs, late = defaultdict(list), []
+        for (whole, offset), at in entries.items():
+            crowded = offset == _WINDOW
+            suffix, left = (whole, b"") if crowded else (whole[offset:], whole[:offset])
+            rows = runs[xxhash.xxh3_64_intdigest(suffix[:SPAN] if crowded else suffix[:GRAM]) % parts, crowded]
+            if len(at) == 3:
+                rows.append((suffix, left, *at))
+                continue
+            least = min(at[::3])
+            for doc, th, start in zip(at[::3], at[1::3], at[2::3], strict=True):
+                if doc > least:
+                    late.append((doc, th, start, len(whole)))
+                else:
+                    rows.append((suffix, left, doc, th, start))
+        entries.clear()
         homes, blobs = [], []
-        for (p, crowded), rows in entries.items():
+        for (p, crowded), rows in runs.items():
             rows.sort(key=lambda r: r[0])
             tails, prefixes, lengths = front_code([r[0] for r in rows])
             left, doc, th, start = zip(*(r[1:] for r in rows), strict=True)
             ends = np.cumsum([len(x) for x in left])
             homes.append(p)
-            blobs.append(pack([crowded, tails, bytes(prefixes), bytes(lengths), b"".join(left), ends, np.array(doc, np.int64), np.array(th, np.uint64), np.array(start, np.uint32)]))
+            blobs.append(pack([crowded, tails, bytes(prefixes), bytes(lengths), b"".join(left), ends.astype(np.uint32), np.array(doc, np.int64), np.array(th, np.uint64), np.array(start, np.uint32)]))
         if homes:
             yield _rows(homes, RUN, blobs)
+        if late:
+            yield _found(late, parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram_hash = xxhash.xxh3_64_intdigest
         for _, rows in _by_part(batches):
-            blobs, known, entries, held = [], None, defaultdict(list), 0
+            blobs, known, entries, held = [], None, {}, 0
             for kind, blob in rows:
                 if kind == CANDIDATE:
                     blobs.append(blob)
@@ -396,27 +421,34 @@ def _extract(parts: int):
                     batch = _documents(blob)
                     for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                         a, b = known.of(doc, text)
-                        if a == b:
-                            continue
-                        th = int(known.cols[1][a])
-                        for start, size, offset, crowded in zip(*(c[a:b].tolist() for c in known.cols[2:]), strict=True):
-                            if crowded:
-                                for s in range(start, start + size - SPAN + 1):
-                                    window = text[s : s + SPAN]
-                                    entries[gram_hash(window) % parts, True].append((window, b"", doc, th, s))
-                                held += size - SPAN + 1
-                            else:
-                                suffix = text[start + offset : start + size]
-                                entries[gram_hash(suffix[:GRAM]) % parts, False].append((suffix, text[start : start + offset], doc, th, start))
-                                held += 1
-                        if held >= 60_000:
-                            yield from flush(entries)
-                            entries, held = defaultdict(list), 0
+                        for lo in range(a, b, _RUN):  # a long text's stretches need not fit into one run
+                            hi = min(b, lo + _RUN)
+                            th = int(known.cols[1][lo])
+                            for start, size, offset, crowded in zip(*(c[lo:hi].tolist() for c in known.cols[2:]), strict=True):
+                                if crowded:
+                                    for s in range(start, start + size - SPAN + 1):
+                                        entries.setdefault((text[s : s + SPAN], _WINDOW), []).extend((doc, th, s))
+                                    held += size - SPAN
+                                else:
+                                    entries.setdefault((text[start : start + size], offset), []).extend((doc, th, start))
+                            held += hi - lo
+                            if held >= _RUN:
+                                yield from flush(entries)
+                                held = 0
             yield from flush(entries)
 
     return run
 
 
+#: Stands for the gram's offset in entries that are one window.
+_WINDOW = 255
+
+
+def _found(late: list[tuple[int, int, int, int]], parts: int) -> pa.RecordBatch:
+    doc, th, start, size = zip(*late, strict=True)
+    return _intervals(np.array(doc, np.int64), np.array(th, np.uint64), np.array(start), np.array(size), parts, REMOVED)
+
+
 def _run(blob: bytes) -> tuple[bool, Iterator[tuple[int, bytes, object]]]:
     crowded, tails, prefixes, lengths, left, ends, doc, th, start = unpack(blob)
 
@@ -429,54 +461,105 @@ def _run(blob: bytes) -> tuple[bool, Iterator[tuple[int, bytes, object]]]:
     return crowded, rows()
 
 
-def _repeated(group: list[tuple[bytes, bytes, int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, text hash, start, bytes) of the windows of a gram's stretches that an earlier document has."""
-    if len({e[2] for e in group}) < 2:
+def _shared_suffix(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    if a[len(a) - n :] == b[len(b) - n :]:
+        return n
+    return len(commonprefix((a[::-1], b[::-1])))
+
+
+def _repeated(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
+    """(doc, text hash, start, bytes) of the windows of a gram's stretches that an earlier document has.
+
+    ``group``: (prefix shared with the entry before, suffix, left, doc, text hash, start), sorted by suffix.
+    """
+    first = group[0][3]
+    if all(e[3] == first for e in group):
+        return
+    # different stretches: least document, entries, prefix shared with the stretch before
+    kinds: dict[tuple[bytes, bytes], list] = {}
+    shared = 255
+    for h, suffix, left, doc, th, start in group:
+        shared = min(shared, h)
+        kind = kinds.get((suffix, left))
+        if kind is None:
+            kinds[suffix, left] = [doc, [(doc, th, start)], shared]
+            shared = 255
+        else:
+            kind[0] = min(kind[0], doc)
+            kind[1].append((doc, th, start))
+    for (suffix, left), (least, at, _) in kinds.items():
+        for doc, th, start in at:
+            if doc > least:
+                yield doc, th, start, len(left) + len(suffix)
+    if len(kinds) > _FEW:
+        yield from _by_windows(kinds)
         return
-    least: dict[bytes, int] = {}
-    whole = [(left + suffix, doc, th, start) for suffix, left, doc, th, start in group]
-    for x, doc, _, _ in whole:
-        for s in range(len(x) - SPAN + 1):
-            w = x[s : s + SPAN]
-            if least.get(w, doc) >= doc:
-                least[w] = doc
-    for x, doc, th, start in whole:
-        hit = [s for s in range(len(x) - SPAN + 1) if least[x[s : s + SPAN]] < doc]
-        if hit:
-            begin = last = hit[0]
-            for s in hit[1:]:
-                if s != last + 1:
-                    yield doc, th, start + begin, last - begin + SPAN
-                    begin = s
-                last = s
-            yield doc, th, start + begin, last - begin + SPAN
+    each = list(kinds.items())
+    for i, ((_, left), (least, at, _)) in enumerate(each):
+        prefix = 255
+        for j in range(i + 1, len(each)):
+            (_, other), (rival, others, h) = each[j]
+            prefix = min(prefix, h)
+            if least == rival or prefix + min(len(left), len(other)) < SPAN:
+                continue
+            common = _shared_suffix(left, other)
+            if common + prefix >= SPAN:
+                late, before, place = (others, least, len(other)) if least < rival else (at, rival, len(left))
+                for doc, th, start in late:
+                    if doc > before:
+                        yield doc, th, start + place - common, common + prefix
+
+
+def _by_windows(kinds: dict[tuple[bytes, bytes], list]) -> Iterator[tuple[int, int, int, int]]:
+    """The same for many different stretches, whose windows are looked up in a table."""
+    earliest: dict[bytes, int] = {}
+    for (suffix, left), (least, _, _) in kinds.items():
+        whole = left + suffix
+        for s in range(len(whole) - SPAN + 1):
+            w = whole[s : s + SPAN]
+            if earliest.get(w, least) >= least:
+                earliest[w] = least
+    for (suffix, left), (least, at, _) in kinds.items():
+        whole = left + suffix
+        hit = [s for s in range(len(whole) - SPAN + 1) if earliest[whole[s : s + SPAN]] < least]
+        spans: list[list[int]] = []
+        for s in hit:
+            if spans and s == spans[-1][1] + 1:
+                spans[-1][1] = s
+            else:
+                spans.append([s, s])
+        for doc, th, start in at:
+            for lo, hi in spans:
+                yield doc, th, start + lo, hi - lo + SPAN
 
 
 def _merge(parts: int):
     """Front-coded runs of one partition to removed intervals."""
 
-    def intervals(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-        doc, th, start, size = zip(*out, strict=True)
-        return _intervals(np.array(doc, np.int64), np.array(th, np.uint64), np.array(start), np.array(size), parts, REMOVED)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_part(batches):
-            runs = [_run(b) for k, b in rows if k == RUN]
-            out: list[tuple[int, int, int, int]] = []
+        for part, rows in _by_part(batches):
+            runs, out = [], []
+            for kind, blob in rows:
+                if kind == RUN:
+                    runs.append(_run(blob))
+                else:  # decided where the runs were made
+                    yield _rows([part], kind, [blob])
             for crowded, least in ((False, GRAM), (True, SPAN)):
                 group: list = []
                 for h, suffix, (left, doc, th, start) in merge([r for c, r in runs if c == crowded]):
-                    if h < least and group:
-                        out += _repeated(group)
+                    if h < least:
+                        if len(group) > 1:
+                            out += _repeated(group)
+                            if len(out) >= 60_000:
+                                yield _found(out, parts)
+                                out = []
                         group = []
-                        if len(out) >= 60_000:
-                            yield intervals(out)
-                            out = []
-                    group.append((suffix, left, doc, th, start))
-                if group:
+                    group.append((h, suffix, left, doc, th, start))
+                if len(group) > 1:
                     out += _repeated(group)
             if out:
-                yield intervals(out)
+                yield _found(out, parts)
 
     return run
 
@@ -508,7 +591,8 @@ def _apply(names: list[str], with_kept: bool):
                             kept.append(text[at:s])
                             at = e
                         left = b"".join([*kept, text[at:]])
-                        out.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left, left.decode("utf-8", "ignore")))
+                        made = (left, left.decode("utf-8", "ignore")) if with_kept else ()
+                        out.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), *made))
                     cols = list(zip(*out, strict=True))
                     made = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3])]
                     made += [pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.string())] if with_kept else []

@@ -6,6 +6,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -410,3 +412,35 @@ def test_pipeline(spark):
             assert out.exceptAll(held).count() == 0 and out.count() == held.count()
         held = out
     assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() == held.count()
+
+
+def test_suffix_dedup_decides_by_bytes_when_every_hash_collides(monkeypatch):
+    class Colliding(suffix_dedup.Stretches):
+        def __init__(self, *args):
+            super().__init__(*args)
+            self.gram, self.content = self.gram >> np.uint64(60) << np.uint64(60), self.content * np.uint64(0)
+
+    monkeypatch.setattr(suffix_dedup, "Stretches", Colliding)
+    monkeypatch.setattr(suffix_dedup, "_RUN", 50)
+    rnd = random.Random(9)
+    parts = [prose(rnd, 25) for _ in range(12)]
+    data = [(i, " ".join(t if rnd.random() < 0.8 else prose(rnd, 9) for t in rnd.sample(parts, 4))[rnd.randrange(40) :]) for i in range(60)]
+    data += [(60 + i, parts[0][i : i + 70]) for i in range(12)]  # many different stretches of one gram
+    batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in data], "text": [t for _, t in data]})
+
+    def step(run, *inputs):
+        rows = sorted(((k, b) for x in inputs for r in x for k, b in zip(r.column("kind").to_pylist(), r.column("blob").to_pylist(), strict=True)), key=lambda r: r[0])
+        return list(run(iter([suffix_dedup._rows([0] * len(rows), 0, [b for _, b in rows]).set_column(1, "kind", pa.array([k for k, _ in rows], pa.int32()))])))
+
+    def only(kinds, rows):
+        return [r.filter(pa.compute.is_in(r.column("kind"), pa.array(kinds, pa.int32()))) for r in rows]
+
+    for crowded in (1, suffix_dedup.CROWDED):
+        home = list(suffix_dedup._texts_home(1)(iter([batch])))
+        first = step(suffix_dedup._match(1, crowded), suffix_dedup._scan(1)(iter([batch])))
+        runs = step(suffix_dedup._extract(1), only([suffix_dedup.CANDIDATE], first), home)
+        second = step(suffix_dedup._merge(1), runs)
+        out = step(suffix_dedup._apply(["doc_id", "text"], False), only([suffix_dedup.REMOVED], first), second, home)
+        got = {(d, t.encode()): row for r in out for d, t, *row in zip(*(r.column(c).to_pylist() for c in ("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256")), strict=True)}
+        want = brute_removal([(i, t.encode()) for i, t in data])
+        assert {k: tuple(v) for k, v in got.items()} == want and any(v[1] for v in want.values())
