@@ -7,7 +7,9 @@ stand for the rest without loss:
 1. Every 50-byte window belongs to its least 16-byte gram by hash (rightmost on ties), a
    choice that depends on the window's bytes alone. Consecutive windows of one gram form a
    *stretch* of at most 84 bytes, one for about 17 bytes of text. Equal windows are
-   compared exactly when their stretches share the gram.
+   compared exactly when their stretches share the gram. Equal stretches that follow each
+   other at 50 bytes or less (periodic text) count as one with a *reach*, the distance of the
+   last from the first: whatever goes from each of them goes without a gap.
 2. Tasks exchange the gram hashes of their stretches. This decides only which stretches stay
    out of the sort: those whose gram no other document has. Stretches equal, byte for byte,
    to one of an earlier document in the same part of a task go at once.
@@ -78,8 +80,19 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _table
 
 
+def _equal(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` (SPAN or more) bytes of ``buf`` at ``a`` and at ``b`` are the same."""
+    words = np.lib.stride_tricks.as_strided(buf.view(np.uint8), (max(0, len(buf) - 7), 8), (1, 1))
+    same = np.ones(len(a), bool)
+    for k in range(0, 2 * SPAN - GRAM, 8):
+        rows = np.flatnonzero(same & (size > k))
+        at = np.minimum(k, size[rows].astype(np.int64) - 8)  # the last eight bytes overlap others
+        same[rows] = (words[a[rows] + at] == words[b[rows] + at]).all(axis=1)
+    return same
+
+
 class Stretches:
-    """The stretches of some texts, as parallel arrays: text number, start, bytes, gram offset, hashes."""
+    """The stretches of some texts, as parallel arrays: text number, start, bytes, reach, gram offset, hashes."""
 
     def __init__(self, data: list[bytes], numbers: list[int], starts: list[int]):
         buf = np.frombuffer(b"".join(data), np.uint8)
@@ -112,6 +125,19 @@ class Stretches:
         self.offset = (at[first] - first).astype(np.uint8)
         self.gram = grams[at[first]]
         self.content = _mix((prefix[end] - prefix[first]) * down[first] + self.size.astype(np.uint64) * np.uint64(_ODD))
+        again = (self.content[1:] == self.content[:-1]) & (self.gram[1:] == self.gram[:-1]) & (own[1:] == own[:-1]) & (np.diff(first) <= SPAN) & (self.size[1:] == self.size[:-1])
+        rows = np.flatnonzero(again)
+        again[rows] = _equal(buf, first[rows], first[rows + 1], self.size[rows])
+        self.reach = np.zeros(len(first), np.uint32)
+        if len(rows):
+            heads = np.flatnonzero(np.append(True, ~again))
+            last = np.append(heads[1:], len(first)) - 1
+            self.reach[heads] = first[last] - first[heads]
+            for c in FIELDS:
+                setattr(self, c, getattr(self, c)[heads])
+
+
+FIELDS = ("number", "start", "size", "reach", "offset", "gram", "content")
 
 
 def _stretches(data: list[tuple[int, bytes]]) -> Iterator[Stretches]:
@@ -198,17 +224,6 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[
 KEEP, REMOVED, CANDIDATE, TEXT, RUN = 0, 1, 2, 3, 4
 
 
-def _equal(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether the ``size`` (SPAN or more) bytes of ``buf`` at ``a`` and at ``b`` are the same."""
-    words = np.lib.stride_tricks.as_strided(buf.view(np.uint8), (max(0, len(buf) - 7), 8), (1, 1))
-    same = np.ones(len(a), bool)
-    for k in range(0, 2 * SPAN - GRAM, 8):
-        rows = np.flatnonzero(same & (size > k))
-        at = np.minimum(k, size[rows].astype(np.int64) - 8)  # the last eight bytes overlap others
-        same[rows] = (words[a[rows] + at] == words[b[rows] + at]).all(axis=1)
-    return same
-
-
 def _scan(parts: int):
     """Texts to sorted runs of stretches, by gram; what equals an earlier document of the same run is decided here, by bytes."""
 
@@ -216,12 +231,10 @@ def _scan(parts: int):
         if not found:
             return
         doc, th = np.array(docs, np.int64), np.array(hashes, np.uint64)
-        number, start, size, offset, gram, content = (
-            np.concatenate([getattr(s, c) for s in found]) for c in ("number", "start", "size", "offset", "gram", "content")
-        )
+        number, start, size, reach, offset, gram, content = (np.concatenate([getattr(s, c) for s in found]) for c in FIELDS)
         found.clear()
         order = np.lexsort((doc[number], content, gram))
-        number, start, size, offset, gram, content = (x[order] for x in (number, start, size, offset, gram, content))
+        number, start, size, reach, offset, gram, content = (x[order] for x in (number, start, size, reach, offset, gram, content))
         first = np.ones(len(gram), bool)
         first[1:] = (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
         head = np.flatnonzero(first)[np.cumsum(first) - 1]
@@ -230,19 +243,19 @@ def _scan(parts: int):
             base = np.cumsum([0, *map(len, data)])[:-1]
             at, rows = base[number] + start, np.flatnonzero(late)
             late[rows] = _equal(np.frombuffer(b"".join(data), np.uint8), at[rows], at[head[rows]], size[rows])
-            yield _intervals(doc[number[late]], th[number[late]], start[late], size[late], parts, REMOVED)
+            yield _intervals(doc[number[late]], th[number[late]], start[late], size[late] + reach[late], parts, REMOVED)
         keep = ~late
-        number, start, size, offset, gram = (x[keep] for x in (number, start, size, offset, gram))
+        number, start, size, reach, offset, gram = (x[keep] for x in (number, start, size, reach, offset, gram))
         homes, blobs = [], []
         for p, rows in _split(_share(gram, parts)):
             used, local = np.unique(number[rows], return_inverse=True)
             kind = np.uint16 if len(used) < 65536 else np.uint32
             homes.append(p)
-            blobs.append(pack([len(rows), doc[used], th[used], local.astype(kind), start[rows].astype(np.uint32), size[rows], offset[rows], _planes(gram[rows])]))
+            blobs.append(pack([len(rows), doc[used], th[used], local.astype(kind), start[rows].astype(np.uint32), size[rows], reach[rows], offset[rows], _planes(gram[rows])]))
         yield _rows(homes, KEEP, blobs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, docs, hashes, kept, held = [], [], [], [], 0
+        found, docs, hashes, kept, held, many = [], [], [], [], 0, 0
         for batch in slices(batches):
             ids, data = batch.column("doc_id").to_pylist(), texts(batch)
             at = 0
@@ -256,11 +269,13 @@ def _scan(parts: int):
                         kept.append(data[at])
                         size += len(data[at])
                     at += 1
-                found += _stretches(part)
+                for made in _stretches(part):
+                    found.append(made)
+                    many += len(made.start)
                 held += size
-                if held >= _FLUSH:
+                if held >= _FLUSH or many >= _FLUSH >> 4:
                     yield from flush(found, docs, hashes, kept)
-                    found, docs, hashes, kept, held = [], [], [], [], 0
+                    found, docs, hashes, kept, held, many = [], [], [], [], 0, 0
         yield from flush(found, docs, hashes, kept)
 
     return run
@@ -277,17 +292,17 @@ def _match(parts: int, crowded: int):
     def decide(blobs: list[bytes], part: int) -> Iterator[pa.RecordBatch]:
         runs = []
         for blob in blobs:
-            n, doc, th, local, start, size, offset, planes = unpack(blob)
-            runs.append((_from_planes(planes, n), local, doc, th, start, size, offset))
+            n, doc, th, local, start, size, reach, offset, planes = unpack(blob)
+            runs.append((_from_planes(planes, n), local, doc, th, start, size, reach, offset))
         low, high = -(-(part << 64) // parts), -(-((part + 1) << 64) // parts)
         for k in range(_RANGES):
             a, b = (low + (high - low) * i // _RANGES for i in (k, k + 1))
-            cols = [[] for _ in range(6)]
-            for gram, local, doc, th, start, size, offset in runs:
+            cols = [[] for _ in range(7)]
+            for gram, local, doc, th, start, size, reach, offset in runs:
                 i = np.searchsorted(gram, np.uint64(a)) if k else 0
                 j = np.searchsorted(gram, np.uint64(b)) if k < _RANGES - 1 else len(gram)
                 own = local[i:j]
-                for col, x in zip(cols, (gram[i:j], doc[own], th[own], start[i:j], size[i:j], offset[i:j]), strict=True):
+                for col, x in zip(cols, (gram[i:j], doc[own], th[own], start[i:j], size[i:j], reach[i:j], offset[i:j]), strict=True):
                     col.append(x)
             if any(map(len, cols[0])):
                 doc, th, start, size, *more = resolve([np.concatenate(c) for c in cols])
@@ -296,13 +311,13 @@ def _match(parts: int, crowded: int):
 
     def resolve(cols: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         order = np.argsort(cols[0], kind="stable")
-        gram, doc, th, start, size, offset = (x[order] for x in cols)
+        gram, doc, th, start, size, reach, offset = (x[order] for x in cols)
         new = np.ones(len(gram), bool)
         new[1:] = gram[1:] != gram[:-1]
         heads, group = np.flatnonzero(new), np.cumsum(new) - 1
         left = (np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads))[group]
         apart = (np.diff(np.append(heads, len(gram))) > crowded)[group]
-        return tuple(x[left] for x in (doc, th, start, size, offset, apart))
+        return tuple(x[left] for x in (doc, th, start, size, reach, offset, apart))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
@@ -387,24 +402,24 @@ def _extract(parts: int):
             crowded = offset == _WINDOW
             suffix, left = (whole, b"") if crowded else (whole[offset:], whole[:offset])
             rows = runs[xxhash.xxh3_64_intdigest(suffix[:SPAN] if crowded else suffix[:GRAM]) % parts, crowded]
-            if len(at) == 3:
+            if len(at) == 4:
                 rows.append((suffix, left, *at))
                 continue
-            least = min(at[::3])
-            for doc, th, start in zip(at[::3], at[1::3], at[2::3], strict=True):
+            least = min(at[::4])
+            for doc, th, start, reach in zip(at[::4], at[1::4], at[2::4], at[3::4], strict=True):
                 if doc > least:
-                    late.append((doc, th, start, len(whole)))
+                    late.append((doc, th, start, len(whole) + reach))
                 else:
-                    rows.append((suffix, left, doc, th, start))
+                    rows.append((suffix, left, doc, th, start, reach))
         entries.clear()
         homes, blobs = [], []
         for (p, crowded), rows in runs.items():
             rows.sort(key=lambda r: r[0])
             tails, prefixes, lengths = front_code([r[0] for r in rows])
-            left, doc, th, start = zip(*(r[1:] for r in rows), strict=True)
+            left, doc, th, start, reach = zip(*(r[1:] for r in rows), strict=True)
             ends = np.cumsum([len(x) for x in left])
             homes.append(p)
-            blobs.append(pack([crowded, tails, bytes(prefixes), bytes(lengths), b"".join(left), ends.astype(np.uint32), np.array(doc, np.int64), np.array(th, np.uint64), np.array(start, np.uint32)]))
+            blobs.append(pack([crowded, tails, bytes(prefixes), bytes(lengths), b"".join(left), ends.astype(np.uint32), np.array(doc, np.int64), np.array(th, np.uint64), np.array(start, np.uint32), np.array(reach, np.uint32)]))
         if homes:
             yield _rows(homes, RUN, blobs)
         if late:
@@ -424,13 +439,13 @@ def _extract(parts: int):
                         for lo in range(a, b, _RUN):  # a long text's stretches need not fit into one run
                             hi = min(b, lo + _RUN)
                             th = int(known.cols[1][lo])
-                            for start, size, offset, crowded in zip(*(c[lo:hi].tolist() for c in known.cols[2:]), strict=True):
+                            for start, size, reach, offset, crowded in zip(*(c[lo:hi].tolist() for c in known.cols[2:]), strict=True):
                                 if crowded:
                                     for s in range(start, start + size - SPAN + 1):
-                                        entries.setdefault((text[s : s + SPAN], _WINDOW), []).extend((doc, th, s))
+                                        entries.setdefault((text[s : s + SPAN], _WINDOW), []).extend((doc, th, s, reach))
                                     held += size - SPAN
                                 else:
-                                    entries.setdefault((text[start : start + size], offset), []).extend((doc, th, start))
+                                    entries.setdefault((text[start : start + size], offset), []).extend((doc, th, start, reach))
                             held += hi - lo
                             if held >= _RUN:
                                 yield from flush(entries)
@@ -450,12 +465,13 @@ def _found(late: list[tuple[int, int, int, int]], parts: int) -> pa.RecordBatch:
 
 
 def _run(blob: bytes) -> tuple[bool, Iterator[tuple[int, bytes, object]]]:
-    crowded, tails, prefixes, lengths, left, ends, doc, th, start = unpack(blob)
+    crowded, tails, prefixes, lengths, left, ends, doc, th, start, reach = unpack(blob)
 
     def rows() -> Iterator[tuple[int, bytes, object]]:
         begin = 0
-        for (h, s), e, d, t, at in zip(front_decode(tails, prefixes, lengths), ends.tolist(), doc.tolist(), th.tolist(), start.tolist(), strict=True):
-            yield h, s, (left[begin:e], d, t, at)
+        places = zip(doc.tolist(), th.tolist(), start.tolist(), reach.tolist(), strict=True)
+        for (h, s), e, at in zip(front_decode(tails, prefixes, lengths), ends.tolist(), places, strict=True):
+            yield h, s, (left[begin:e], at)
             begin = e
 
     return crowded, rows()
@@ -471,27 +487,27 @@ def _shared_suffix(a: bytes, b: bytes) -> int:
 def _repeated(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
     """(doc, text hash, start, bytes) of the windows of a gram's stretches that an earlier document has.
 
-    ``group``: (prefix shared with the entry before, suffix, left, doc, text hash, start), sorted by suffix.
+    ``group``: (prefix shared with the entry before, suffix, left, (doc, text hash, start, reach)), sorted by suffix.
     """
-    first = group[0][3]
-    if all(e[3] == first for e in group):
+    first = group[0][3][0]
+    if all(e[3][0] == first for e in group):
         return
     # different stretches: least document, entries, prefix shared with the stretch before
     kinds: dict[tuple[bytes, bytes], list] = {}
     shared = 255
-    for h, suffix, left, doc, th, start in group:
+    for h, suffix, left, at in group:
         shared = min(shared, h)
         kind = kinds.get((suffix, left))
         if kind is None:
-            kinds[suffix, left] = [doc, [(doc, th, start)], shared]
+            kinds[suffix, left] = [at[0], [at], shared]
             shared = 255
         else:
-            kind[0] = min(kind[0], doc)
-            kind[1].append((doc, th, start))
+            kind[0] = min(kind[0], at[0])
+            kind[1].append(at)
     for (suffix, left), (least, at, _) in kinds.items():
-        for doc, th, start in at:
+        for doc, th, start, reach in at:
             if doc > least:
-                yield doc, th, start, len(left) + len(suffix)
+                yield doc, th, start, len(left) + len(suffix) + reach
     if len(kinds) > _FEW:
         yield from _by_windows(kinds)
         return
@@ -506,9 +522,9 @@ def _repeated(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
             common = _shared_suffix(left, other)
             if common + prefix >= SPAN:
                 late, before, place = (others, least, len(other)) if least < rival else (at, rival, len(left))
-                for doc, th, start in late:
+                for doc, th, start, reach in late:
                     if doc > before:
-                        yield doc, th, start + place - common, common + prefix
+                        yield doc, th, start + place - common, common + prefix + reach
 
 
 def _by_windows(kinds: dict[tuple[bytes, bytes], list]) -> Iterator[tuple[int, int, int, int]]:
@@ -529,9 +545,9 @@ def _by_windows(kinds: dict[tuple[bytes, bytes], list]) -> Iterator[tuple[int, i
                 spans[-1][1] = s
             else:
                 spans.append([s, s])
-        for doc, th, start in at:
+        for doc, th, start, reach in at:
             for lo, hi in spans:
-                yield doc, th, start + lo, hi - lo + SPAN
+                yield doc, th, start + lo, hi - lo + SPAN + reach
 
 
 def _merge(parts: int):
@@ -547,7 +563,7 @@ def _merge(parts: int):
                     yield _rows([part], kind, [blob])
             for crowded, least in ((False, GRAM), (True, SPAN)):
                 group: list = []
-                for h, suffix, (left, doc, th, start) in merge([r for c, r in runs if c == crowded]):
+                for h, suffix, (left, at) in merge([r for c, r in runs if c == crowded]):
                     if h < least:
                         if len(group) > 1:
                             out += _repeated(group)
@@ -555,7 +571,7 @@ def _merge(parts: int):
                                 yield _found(out, parts)
                                 out = []
                         group = []
-                    group.append((h, suffix, left, doc, th, start))
+                    group.append((h, suffix, left, at))
                 if len(group) > 1:
                     out += _repeated(group)
             if out:

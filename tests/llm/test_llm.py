@@ -426,6 +426,7 @@ def test_suffix_dedup_decides_by_bytes_when_every_hash_collides(monkeypatch):
     parts = [prose(rnd, 25) for _ in range(12)]
     data = [(i, " ".join(t if rnd.random() < 0.8 else prose(rnd, 9) for t in rnd.sample(parts, 4))[rnd.randrange(40) :]) for i in range(60)]
     data += [(60 + i, parts[0][i : i + 70]) for i in range(12)]  # many different stretches of one gram
+    data += [(72, "ab" * 40), (73, "q" + "ab" * 700 + "r"), (74, "abc" * 30 + "ab" * 60), (75, "abc" * 300), (76, ("line of thirty-nine characters, 39 ok.\n") * 30), (77, "e 39 ok.\n" + ("line of thirty-nine characters, 39 ok.\n") * 3)]  # periods
     batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in data], "text": [t for _, t in data]})
 
     def step(run, *inputs):
