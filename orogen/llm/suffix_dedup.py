@@ -123,7 +123,7 @@ class Stretches:
         self.start = first - before[own] + np.array(starts)[own]
         self.size = (end - first).astype(np.uint8)
         self.offset = (at[first] - first).astype(np.uint8)
-        self.gram = grams[at[first]]
+        self.gram = _mix(grams[at[first]] ^ np.uint64(_ODD))  # least hashes are small ones; these are spread evenly
         self.content = _mix((prefix[end] - prefix[first]) * down[first] + self.size.astype(np.uint64) * np.uint64(_ODD))
         again = (self.content[1:] == self.content[:-1]) & (self.gram[1:] == self.gram[:-1]) & (own[1:] == own[:-1]) & (np.diff(first) <= SPAN) & (self.size[1:] == self.size[:-1])
         rows = np.flatnonzero(again)
