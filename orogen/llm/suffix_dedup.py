@@ -212,6 +212,10 @@ def _gather(blobs: list[bytes]) -> list[np.ndarray]:
     return [c[order] for c in cols]
 
 
+def _joined(blobs: list[bytes]) -> bytes:
+    return blobs[0] if len(blobs) == 1 else pack([np.concatenate(c) for c in zip(*map(unpack, blobs), strict=True)])
+
+
 def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
     """Rows sorted by (part, kind), a part at a time."""
     from itertools import groupby
@@ -295,6 +299,7 @@ def _match(parts: int, crowded: int):
             n, doc, th, local, start, size, reach, offset, planes = unpack(blob)
             runs.append((_from_planes(planes, n), local, doc, th, start, size, reach, offset))
         low, high = -(-(part << 64) // parts), -(-((part + 1) << 64) // parts)
+        left: list[tuple[np.ndarray, ...]] = []
         for k in range(_RANGES):
             a, b = (low + (high - low) * i // _RANGES for i in (k, k + 1))
             cols = [[] for _ in range(7)]
@@ -305,9 +310,11 @@ def _match(parts: int, crowded: int):
                 for col, x in zip(cols, (gram[i:j], doc[own], th[own], start[i:j], size[i:j], reach[i:j], offset[i:j]), strict=True):
                     col.append(x)
             if any(map(len, cols[0])):
-                doc, th, start, size, *more = resolve([np.concatenate(c) for c in cols])
-                if len(doc):
-                    yield _intervals(doc, th, start, size, parts, CANDIDATE, *more)
+                left.append(resolve([np.concatenate(c) for c in cols]))
+        if any(len(found[0]) for found in left):
+            doc, th, start, size, *more = (np.concatenate(c) for c in zip(*left, strict=True))
+            del runs, left
+            yield _intervals(doc, th, start, size, parts, CANDIDATE, *more)
 
     def resolve(cols: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         order = np.argsort(cols[0], kind="stable")
@@ -321,14 +328,22 @@ def _match(parts: int, crowded: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _by_part(batches):
-            blobs = []
-            for kind, blob in rows:
+            blobs, home = [], []
+            for kind, blob in rows:  # KEEP first
                 if kind == KEEP:
                     blobs.append(blob)
-                else:  # the scan has decided these; they are at home already
-                    yield _rows([part], kind, [blob])
+                    continue
+                if blobs:
+                    yield from decide(blobs, part)
+                    blobs = []
+                home.append(blob)  # the scan has decided these; they are at home already
+                if sum(map(len, home)) >= 1 << 20:
+                    yield _rows([part], kind, [_joined(home)])
+                    home = []
             if blobs:
                 yield from decide(blobs, part)
+            if home:
+                yield _rows([part], REMOVED, [_joined(home)])
 
     return run
 
@@ -396,7 +411,7 @@ def _extract(parts: int):
     document; those of its other documents go at once.
     """
 
-    def flush(entries: dict[tuple[bytes, int], list[int]]) -> Iterator[pa.RecordBatch]:
+    def flush(entries: dict[tuple[bytes, int], list[int]], home: int) -> Iterator[pa.RecordBatch]:
         runs, late = defaultdict(list), []
         for (whole, offset), at in entries.items():
             crowded = offset == _WINDOW
@@ -422,11 +437,12 @@ def _extract(parts: int):
             blobs.append(pack([crowded, tails, bytes(prefixes), bytes(lengths), b"".join(left), ends.astype(np.uint32), np.array(doc, np.int64), np.array(th, np.uint64), np.array(start, np.uint32), np.array(reach, np.uint32)]))
         if homes:
             yield _rows(homes, RUN, blobs)
-        if late:
-            yield _found(late, parts)
+        if late:  # these texts are at home here
+            doc, th, start, size = zip(*late, strict=True)
+            yield _rows([home], REMOVED, [pack([np.array(doc, np.int64), np.array(th, np.uint64), np.array(start, np.uint32), np.array(size, np.uint32)])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_part(batches):
+        for home, rows in _by_part(batches):
             blobs, known, entries, held = [], None, {}, 0
             for kind, blob in rows:
                 if kind == CANDIDATE:
@@ -448,9 +464,9 @@ def _extract(parts: int):
                                     entries.setdefault((text[start : start + size], offset), []).extend((doc, th, start, reach))
                             held += hi - lo
                             if held >= _RUN:
-                                yield from flush(entries)
+                                yield from flush(entries, home)
                                 held = 0
-            yield from flush(entries)
+            yield from flush(entries, home)
 
     return run
 
