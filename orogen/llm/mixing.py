@@ -139,7 +139,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     place = place.withColumn("__n", F.expr(twin.format("__slot, __rank"))).withColumnRenamed("__doc", "__doc2").withColumnRenamed("__key", "__key2")
     rows = docs.withColumn("__doc", F.col("doc_id").cast("long")).withColumn("__key", F.xxhash64("doc_id", "text", "source"))
     rows = rows.withColumn("__m", F.expr(twin.format("__key")))
-    joined = rows.join(place, F.expr("__doc <=> __doc2 and __key = __key2 and __n - __m = 0"))
+    joined = rows.join(place, F.expr("__doc <=> __doc2 and __key = __key2 and __n = __m"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return joined.repartitionByRange(parts, "__slot", "__rank").sortWithinPartitions("__slot", "__rank").select(*[f"`{c}`" for c in docs.columns])
 

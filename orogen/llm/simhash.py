@@ -17,11 +17,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, global_index, slices, task, texts, written
+from .common import components, global_index, partitions, slices, task, texts, written
 
 SEED = 42
 SEGMENTS, SEGMENT_BITS = 16, 4
-#: A grid point with more fingerprints than this is linked through one-bit flips, not by pairs.
+#: A grid point with more fingerprints than this is linked through one-bit flips, a band with more texts block by block, not by pairs.
 CROWDED = 64
 _SLICE = 1 << 16
 
@@ -175,6 +175,119 @@ def _verified(words: int, least: float):
     return run
 
 
+def _wanted(rows: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows (node, text) of ``nodes`` (node, distinct)."""
+    ends = classes.select("node", F.col("same").alias("of"), "rep").join(nodes, "node")
+    found = rows.join(ends, (F.col("same") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+    return found.dropDuplicates(["node"])
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many values each of the sets ``x`` shares with each of ``y``, by a product of their incidence matrices."""
+    sides = [(np.concatenate(side), np.repeat(np.arange(len(side)), [len(v) for v in side])) for side in (x, y)]
+    both = np.intersect1d(*(np.unique(values) for values, _ in sides), assume_unique=True)
+    out = np.zeros((len(x), len(y)), np.float32)
+    coded = []
+    for values, owner in sides:
+        at = np.searchsorted(both, values)
+        known = at < len(both)
+        known[known] = both[at[known]] == values[known]
+        order = np.argsort(at[known], kind="stable")
+        coded.append((at[known][order], owner[known][order]))
+    for lo in range(0, len(both), _COLUMNS):
+        factors = []
+        for (at, owner), n in zip(coded, out.shape, strict=True):
+            a, b = np.searchsorted(at, (lo, lo + _COLUMNS))
+            m = np.zeros((n, min(_COLUMNS, len(both) - lo)), np.float32)
+            m[owner[a:b], at[a:b] - lo] = 1
+            factors.append(m)
+        out += factors[0] @ factors[1].T
+    return out
+
+
+_COLUMNS = 4096
+
+
+def _spanning(pairs: list[tuple[int, int]]) -> list[int]:
+    """Places of those of ``pairs`` that connect what all connect, without a circle."""
+    parent: dict[int, int] = {}
+
+    def root(v: int) -> int:
+        while parent.setdefault(v, v) != v:
+            parent[v] = parent[parent[v]]
+            v = parent[v]
+        return v
+
+    kept = []
+    for i, (a, b) in enumerate(pairs):
+        a, b = root(a), root(b)
+        if a != b:
+            parent[a] = b
+            kept.append(i)
+    return kept
+
+
+def _compared(least: float):
+    """Pairs of blocks of texts, sorted by ``pair``, to links of ``least`` similarity that connect different roots."""
+
+    def group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        low = min(r[1] for r in rows)
+        sides = [[r for r in rows if (r[1] == low) == first] for first in (True, False)]
+        if not sides[1]:
+            if rows[0][2]:  # the other block of the pair is empty
+                return
+            sides[1] = sides[0]
+        (node_a, root_a, sets_a), (node_b, root_b, sets_b) = (
+            (np.array([r[3] for r in side]), np.array([r[4] for r in side]), [np.frombuffer(r[5], np.uint64) for r in side]) for side in sides
+        )
+        size_a, size_b = (np.array([len(v) for v in sets], np.float64) for sets in (sets_a, sets_b))
+        common = _common(sets_a, sets_b)
+        hit = (common >= least * (size_a[:, None] + size_b - common)) & (root_a[:, None] != root_b)
+        i, j = np.nonzero(hit)
+        if len(i):
+            roots, at = np.unique(np.stack([root_a[i], root_b[j]], axis=1), axis=0, return_index=True)
+            for k in _spanning(list(map(tuple, roots.tolist()))):
+                yield int(node_a[i[at[k]]]), int(node_b[j[at[k]]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from itertools import groupby
+
+        rows = (r for batch in slices(batches) for r in zip(*(batch.column(c).to_pylist() for c in ("pair", "block", "mixed", "node", "root", "shingles")), strict=True))
+        for _, own in groupby(rows, key=lambda r: r[0]):
+            out = list(group(list(own)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(2)], ["a", "b"])
+
+    return run
+
+
+#: Texts and shingles of a block of ``_crowded_links``.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 18
+
+
+def _crowded_links(rows: DataFrame, classes: DataFrame, placed: DataFrame, words: int, least: float, block: int) -> DataFrame:
+    """Links of ``least`` similarity that connect what all pairs of different roots in a band connect, without listing pairs.
+
+    ``placed``: spot, node, root. A band's texts are dealt to blocks of bounded size; two
+    blocks at a time, a product of incidence matrices counts the shingles that texts share.
+    """
+    sizes = classes.select("node", "n")
+    placed = placed.join(sizes, "node")
+    blocks = placed.groupBy("spot").agg(F.expr(f"cast(greatest(ceil(count(1) / {block}), ceil(sum(n) / {BLOCK_SHINGLES})) as int)").alias("blocks"))
+    own = placed.join(blocks, "spot").withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    own = own.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    own = own.select("node", "root", "block", F.xxhash64("spot", F.least("block", "other"), F.greatest("block", "other")).alias("pair"), (F.col("block") != F.col("other")).alias("mixed"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = [b"".join(shingles(t, words)) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], ["node", "shingles"])
+
+    found = _wanted(rows, classes, placed.select("node").distinct()).mapInArrow(task(sets), "node long, shingles binary")
+    dealt = own.join(written(found, "shingles"), "node").repartition(partitions(rows.sparkSession), "pair").sortWithinPartitions("pair")
+    return written(dealt.select("pair", "block", "mixed", "node", "root", "shingles").mapInArrow(task(_compared(least)), "a long, b long"), "similar")
+
+
 def _similar_pairs(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
     """Those of ``pairs`` (a, b: nodes of classes) whose texts have a similarity of ``least`` or more."""
     kinds = classes.select("node", "n")
@@ -183,9 +296,7 @@ def _similar_pairs(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words:
     fits = F.least("na", "nb") >= least * F.greatest("na", "nb")
     pairs = written(pairs.where(fits).select("a", "b"), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    ends = classes.select("node", F.col("same").alias("of"), "rep").join(ends, "node")
-    wanted = rows.join(ends, (F.col("same") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
-    wanted = written(wanted.dropDuplicates(["node"]), "texts")
+    wanted = written(_wanted(rows, classes, ends), "texts")
     first, second = (wanted.select(F.col("node").alias(p), F.col("text").alias(f"text_{p}")) for p in "ab")
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
     return written(both.mapInArrow(task(_verified(words, least)), "a long, b long"), "similar")
@@ -204,10 +315,10 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     texts that share a band of least hashes of their word shingles, the chance of which
     depends on the similarity alone, however it came about; the exact Jaccard similarity decides.
     Equal texts form one class (``same``). Every pair of classes that share a band is
-    decided, most without listing it: first all members of a band meet its least document
-    (in a band of more than CROWDED also others), then those that are not yet connected
-    meet each other. Before texts meet, pairs
-    whose shingle counts rule the similarity out are left.
+    decided or already connected: first all members of a band meet its least document, then
+    those that are not yet connected meet each other, as pairs in bands of up to CROWDED
+    texts and block against block, without a list of pairs, in larger ones. Before texts
+    meet, pairs whose shingle counts rule the similarity out are left.
 
     ``docs``: doc_id and text (null: empty). A document is a pair of id and text, so rows of
     one id with other texts, and rows without id, are documents of their own; ``first`` marks
@@ -222,16 +333,16 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     points = classes.select("node", F.explode("bands").alias("spot"))
     counts = points.groupBy("spot").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     shared = written(points.join(counts, "spot"), "points")
-    least_hash = [F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(2)]
-    hubs = shared.groupBy("spot").agg(F.min("node").alias("hub"), F.array_distinct(F.array(F.max("node"), *least_hash)).alias("more"))
-    stars = shared.join(hubs, "spot").select("node", F.explode(F.when(F.col("met") > CROWDED, F.array_union(F.array("hub"), "more")).otherwise(F.array("hub"))).alias("hub"))
-    stars = stars.where("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+    hubs = shared.groupBy("spot").agg(F.min("node").alias("b"))
+    stars = shared.join(hubs, "spot").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     stars = written(stars, "stars")
     links = _similar_pairs(rows, classes, stars, words, least)
     roots = written(components(links, "root"), "roots")
-    placed = written(shared.join(roots, "node", "left").select("spot", "node", F.coalesce("root", "node").alias("root")), "points")
+    placed = written(shared.join(roots, "node", "left").select("spot", "node", "met", F.coalesce("root", "node").alias("root")), "points")
     open_spots = placed.groupBy("spot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("spot")
     placed = written(placed.join(open_spots, "spot"), "points")
+    links = links.union(_crowded_links(rows, classes, placed.where(F.col("met") > CROWDED).drop("met"), words, least, BLOCK))
+    placed = placed.where(F.col("met") <= CROWDED).drop("met")
     cells = placed.select("spot", "root").distinct()
     cells = cells.withColumnRenamed("root", "ra").join(cells.withColumnRenamed("root", "rb"), "spot").where("ra < rb")
     for p in "ab":

@@ -150,7 +150,9 @@ def test_near_copies_keeps_null_ids_and_texts_of_one_id(spark):
     assert Counter(map(tuple, got)) == Counter([(None, a), (5, b + " end"), (1, c), (1, d), (4, None)])
 
 
-def test_similar_documents_compares_crowded_bands(spark):
+@pytest.mark.parametrize("block", [16, simhash.BLOCK])
+def test_similar_documents_compares_crowded_bands(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     rnd = random.Random(12)
     rows = [" | ".join(prose(rnd, 60).split()) for _ in range(90)]
     rows += [" | ".join("edited" if k == 30 else w for k, w in enumerate(t.split(" | "))) for t in rows[5:85]]
