@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """Rows (doc_id, start, length, ids_crc32, doc_tokens, salt) of all whole documents, cut at multiples of ``size``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc, copies = encoder(tokenizer), {}  # a row's copies go to different groups, and to the same ones if the task runs again
         end = np.array([END], "<u4").tobytes()
         for batch in slices(batches):
             docs, data, at = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()], 0
@@ -142,7 +142,9 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
                 out = []
                 for doc, ids in zip(docs[at:stop], enc.encode(data[at:stop]), strict=True):
                     raw, n = ids.astype("<u4").tobytes() + end, len(ids) + 1
-                    salt = zlib.crc32(raw)
+                    row = (doc, zlib.crc32(raw))
+                    copies[row] = copies.get(row, 0) + 1
+                    salt = row[1] + (copies[row] << 32)
                     for s in range(0, n, size):
                         part = raw[4 * s : 4 * (s + size)]
                         out.append((doc, s, len(part) // 4, zlib.crc32(part), n, salt))

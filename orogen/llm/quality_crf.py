@@ -229,8 +229,12 @@ def held_out(doc_id: str = "doc_id", modulus: int = 5, rest: int = 0) -> F.Colum
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, out: F.Column, per_class: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES):
-    """(texts, labels, weights) of a bounded sample of labelled rows outside ``out``: those of least hash in each class."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & ~out).dropDuplicates(["doc_id"])
+    """(texts, labels, weights) of a bounded sample of labelled rows outside ``out``: those of least hash in each class.
+
+    At most ``per_class`` ids of a class, less those whose text is longer than ``max_bytes``. An id with
+    both labels counts as 1; of an id with several texts the least is taken, so that the sample is always the same.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & ~out).groupBy("doc_id").agg(F.max("y").alias("y"))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = known.withColumn("h", F.xxhash64("doc_id"))
     ids = [r for y in counts for r in picked.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_class).select("doc_id", "y").collect()]
@@ -239,7 +243,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, out: F.Column,
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         .join(F.broadcast(small), "doc_id")  # at most 2 * per_class rows
         .where(F.octet_length("text") <= max_bytes)
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.first("y").alias("y"))
         .orderBy("doc_id")
         .collect()
     )
@@ -259,7 +264,11 @@ def fit(docs: DataFrame, labels: DataFrame, out: F.Column | None = None) -> Mode
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column quality_score (0 to 1). A null text counts as empty; a column of that name is replaced."""
+    """``docs`` with a column quality_score (0 to 1).
+
+    A null text counts as empty; whole texts of any length are scored; equal texts score alike and repeated
+    rows each stay; an empty table stays empty; a column of that name is replaced.
+    """
     docs = docs.drop("quality_score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

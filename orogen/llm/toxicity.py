@@ -1,12 +1,12 @@
 """Toxicity by compression distance: zstandard dictionaries with word beginnings of toxic and words of ordinary text.
 
-Two pairs of dictionaries are made from half of the training rows. A pair shares a trained base
-of ordinary text; with the sizes in PAIRS at 0, one dictionary adds at most 64 beginnings of words
-that set toxic texts apart (in 3 % of the toxic sample or more), the other as many bytes of common
-words. This replaces dictionaries trained on toxic and ordinary passages (sizes above 0), which
-told the classes apart less well (README). Every whole text is cut into windows of words; each window is compressed with
-both dictionaries of a pair, and the distribution of the differences is turned into a
-probability by a logistic fit on the other half of the rows.
+Two pairs of dictionaries are made from half of the training rows. A pair shares a base, a
+dictionary that zstandard trains on ordinary text; one dictionary of the pair adds at most 64
+beginnings of words that set toxic texts apart (in 3 % of the toxic sample or more), the other as
+many bytes of common words. They stand in for dictionaries trained on toxic and on ordinary text,
+which told the classes apart less well (README). Every whole text is cut into windows of words;
+each window is compressed with both dictionaries of a pair, and the distribution of the
+differences is turned into a probability by a logistic fit on the other half of the rows.
 """
 
 from __future__ import annotations
@@ -22,14 +22,15 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, slices, task
 from .quality_crf import held_out, training_rows
 
 THRESHOLD = 0.3
 #: Bounds of the training sample: rows of each class, bytes of a text.
 TRAIN_ROWS, TRAIN_BYTES = 2400, 1 << 16
-#: (bytes of the shared base, bytes of the passages, words of a window, passages nearest to the window)
-PAIRS = ((15000, 0, 96, True), (4000, 0, 24, True))
+#: (bytes of the shared base, words of a window)
+PAIRS = ((4000, 48), (2000, 16))
+STEMS = 64
 _SAMPLE_WORDS = 12
 
 
@@ -64,19 +65,16 @@ class Model:
         ordinary = [w for w, y, h in zip(words, labels, half, strict=True) if not y and h]
         self.pairs = self._dictionaries(toxic, ordinary)
         rest = np.flatnonzero(~half)
-        x = np.array([self.features(data[i]) for i in rest]).reshape(len(rest), -1)
-        self.mean, self.spread = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(rest) else (np.zeros(1), np.ones(1))
+        if len(set(labels[rest].tolist())) < 2:  # too few rows to set some apart
+            rest = np.arange(len(data))
+        x = np.array([self.features(data[i]) for i in rest])
+        self.mean, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-6
         self.theta = _logistic((x - self.mean) / self.spread, labels[rest].astype(float), weight[rest])
         self._ready = None
 
     @staticmethod
     def _dictionaries(toxic: list[list[str]], ordinary: list[list[str]]) -> list[tuple]:
-        n1, n0 = len(toxic), len(ordinary)
-        t, o = _counts(toxic, False), _counts(ordinary, False)
-        least = max(2, n1 // 200)
-        apart = {w for w, c in t.items() if c >= least and _odds(t, o, n1, n0, w) >= 3}
-        passages = [f" {' '.join(own)} ".encode() for words in toxic if (own := [w for w in words if w in apart])]
-        plain = [f" {' '.join(words[:: max(1, len(words) // _SAMPLE_WORDS)][:_SAMPLE_WORDS])} ".encode() for words in ordinary]
+        n1, n0, o = len(toxic), len(ordinary), _counts(ordinary, False)
         base = [f" {' '.join(words[len(words) // 3 :][:_SAMPLE_WORDS])} ".encode() for words in ordinary] + [" ".join(words)[:400].encode() for words in ordinary[::2]]
         # beginnings of words that set toxic texts apart, without those that a longer or commoner one explains
         tp, op = _counts(toxic, True), _counts(ordinary, True)
@@ -85,21 +83,17 @@ class Model:
         for p in sorted(good, key=lambda p: (-tp[p], -len(p), p)):
             if not any(p.startswith(k) or (k.startswith(p) and tp[k] >= 0.9 * tp[p]) for k in stems):
                 stems.append(p)
-        stem_bytes = f" {' '.join(stems[:64])} ".encode()
+        mine = f" {' '.join(stems[:STEMS])} ".encode()
         common = f" {' '.join(w for w, _ in o.most_common(3000)[300:] if 5 <= len(w) <= 9)} ".encode()
-        pairs = []
-        for base_size, size, window, near in PAIRS:
-            shared = _trained(base, base_size)
-            mine, other = (_trained(passages, size), _trained(plain, size)) if size else (stem_bytes, common[: len(stem_bytes)].ljust(len(stem_bytes)))
-            pairs.append((window, *((shared + mine, shared + other) if near else (mine + shared, other + shared))))
-        return pairs
+        other = common[: len(mine)].ljust(len(mine))
+        return [(window, base_ + mine, base_ + other) for size, window in PAIRS for base_ in [_trained(base, size)]]
 
     def _compressors(self) -> list[tuple]:
         if getattr(self, "_ready", None) is None:
             self._ready = []
             for window, toxic, ordinary in self.pairs:
                 made = zstd.ZstdCompressionParameters.from_level(
-                    9, source_size=7 * window, dict_size=len(toxic), strategy=zstd.STRATEGY_BTOPT, min_match=3, write_content_size=False, write_dict_id=False, write_checksum=False
+                    5, source_size=7 * window, dict_size=len(toxic), strategy=zstd.STRATEGY_LAZY, min_match=4, write_content_size=False, write_dict_id=False, write_checksum=False
                 )
                 pair = [zstd.ZstdCompressor(compression_params=made, dict_data=zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT)).compress for d in (toxic, ordinary)]
                 self._ready.append((window, *pair))
@@ -149,7 +143,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, out: F.Column | None = None) -> Model | float:
-    """A model of ``labels.toxic``; with fewer than two classes, the share of label 1 (0 without labels)."""
+    """A model of ``labels.toxic``; with fewer than two classes, the share of label 1 (0 without labels).
+
+    It is fitted on at most TRAIN_ROWS texts of each class of at most TRAIN_BYTES bytes, those of least hash of the id.
+    """
     data, y, weight = training_rows(docs, labels, "toxic", held_out(modulus=4, rest=2) if out is None else out, TRAIN_ROWS, TRAIN_BYTES)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.0
@@ -157,18 +154,22 @@ def fit(docs: DataFrame, labels: DataFrame, out: F.Column | None = None) -> Mode
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
-    """``docs`` with a column toxic_score (0 to 1). A null text counts as empty; a column of that name is replaced."""
+    """``docs`` with a column toxic_score (0 to 1).
+
+    A null text counts as empty; whole texts of any length are scored; equal texts score alike and repeated
+    rows each stay; an empty table stays empty; a column of that name is replaced.
+    """
     docs = docs.drop("toxic_score")
     if isinstance(model, float):
         return docs.withColumn("toxic_score", F.lit(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [model.score(t or "") for t in batch.column("text").cast(pa.large_string()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "toxic_score"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return docs.mapInArrow(run, ", ".join([*fields, "toxic_score double"]))
+    return docs.mapInArrow(task(run), ", ".join([*fields, "toxic_score double"]))
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -447,3 +447,32 @@ def test_suffix_dedup_decides_by_bytes_when_every_hash_collides(monkeypatch):
         got = {(d, t.encode()): row for r in out for d, t, *row in zip(*(r.column(c).to_pylist() for c in ("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256")), strict=True)}
         want = brute_removal([(i, t.encode()) for i, t in data])
         assert {k: tuple(v) for k, v in got.items()} == want and any(v[1] for v in want.values())
+
+
+def test_classifiers_with_nulls_ties_repeats_long_texts_and_clashes(spark):
+    rnd = random.Random(21)
+    words = [prose(rnd, 60) for _ in range(60)]
+    rows = [(i, words[i] + (" nastyword" * 3 if i % 3 == 0 else "") + ("\n!!!! BUY $$$ 99 | NOW" * 8 if i % 4 == 0 else "")) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, " \n \n"), (63, prose(rnd, 60_000)), (None, rows[3][1]), rows[5], rows[5], (5, rows[7][1])]
+    table = spark.createDataFrame([(i, t, 9.0, 9.0, "x") for i, t in rows], "doc_id long, text string, toxic_score double, quality_score double, y string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0), int(i % 3 == 0)) for i in range(60)] + [(5, 0, 0), (None, 1, 1), (7, None, None)], "doc_id long, quality int, toxic int")
+    for module, name in ((toxicity, "toxic_score"), (quality_crf, "quality_score")):
+        got = module.score(table, module.fit(table, labels)).collect()
+        again = {(r["doc_id"], r["text"]): r[name] for r in module.score(table.repartition(5), module.fit(table.repartition(5), labels)).collect()}
+        assert len(got) == len(rows) and all(0 <= r[name] <= 1 and again[r["doc_id"], r["text"]] == pytest.approx(r[name]) for r in got)
+        by_text = {}
+        for r in got:
+            assert by_text.setdefault(r["text"] or "", r[name]) == pytest.approx(r[name])
+    for n in (2, 3, 8):  # very few labels
+        few = spark.createDataFrame([(i, i % 2, i % 2) for i in range(n)], "doc_id long, quality int, toxic int")
+        assert all(0 <= r["toxic_score"] <= 1 for r in toxicity.score(table, toxicity.fit(table, few)).collect())
+
+
+def test_packing_spreads_copies_of_a_row(spark):
+    import public_tokenizers
+
+    table = spark.createDataFrame([(1, "one two three")] * 300 + [(i, "four") for i in range(2, 50)] + [(None, None)], "doc_id long, text string").coalesce(1)
+    got = packing.pack_sequences(table, public_tokenizers.path("word_bpe_49k.json"), group_docs=20).collect()
+    assert len(got) == 349
+    groups = Counter(r["sequence_id"] >> 32 for r in got if r["doc_id"] == 1)
+    assert len(groups) >= 15 and max(groups.values()) < 60
