@@ -4,13 +4,16 @@ Normalised vectors are hashed by quantised Gaussian projections, ``PROJECTIONS``
 bucket key, in ``TABLES`` independent tables. Vectors that share a bucket are compared by
 their exact cosine in double precision, block against block, so a bucket of any size is
 compared whole without listing its pairs and without gathering in one task. A pair met in
-several tables counts in the first: every vector carries all its bucket keys.
+several tables counts in the first: every vector carries all its bucket keys. The number of
+projections grows with the logarithm of the classes, so that unrelated vectors do not crowd the
+buckets of a larger table; the number of tables follows, so that the recall stays (``plan``).
 
 Equal vectors of a label form one class, compared once; members are counted, not expanded.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,18 +25,26 @@ from .common import components, partitions, read, written
 
 COSINE = 0.98
 TABLES, PROJECTIONS, WIDTH = 12, 7, 0.9
+#: Classes up to which TABLES and PROJECTIONS hold; chance that one projection puts unrelated, or just similar, vectors into one cell.
+FIRST, APART, TOGETHER = 1 << 16, 0.3, 0.82
 #: Classes of a bucket that one task compares with as many others.
 BLOCK = 512
 
 
-def _keys(x: np.ndarray, seed: int) -> np.ndarray:
-    """Bucket keys (rows x TABLES, int64) of normalised vectors."""
+def plan(classes: int) -> tuple[int, int]:
+    """(tables, projections) for so many classes: one projection more whenever they grow by 1 / APART."""
+    more = max(0, math.ceil(math.log(max(classes, 1) / FIRST) / math.log(1 / APART)))
+    return math.ceil(TABLES / TOGETHER**more), PROJECTIONS + more
+
+
+def _keys(x: np.ndarray, seed: int, tables: int, projections: int) -> np.ndarray:
+    """Bucket keys (rows x tables, int64) of normalised vectors."""
     rng = np.random.default_rng([seed, x.shape[1]])
-    a = rng.standard_normal((x.shape[1], TABLES * PROJECTIONS))
-    b = rng.uniform(0, WIDTH, TABLES * PROJECTIONS)
-    cells = np.floor((x @ a + b) / WIDTH).astype(np.int64).reshape(len(x), TABLES, PROJECTIONS).view(np.uint64)
-    key = np.full((len(x), TABLES), x.shape[1], np.uint64)
-    for i in range(PROJECTIONS):
+    a = rng.standard_normal((x.shape[1], tables * projections))
+    b = rng.uniform(0, WIDTH, tables * projections)
+    cells = np.floor((x @ a + b) / WIDTH).astype(np.int64).reshape(len(x), tables, projections).view(np.uint64)
+    key = np.full((len(x), tables), x.shape[1], np.uint64)
+    for i in range(projections):
         key = (key ^ cells[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
     return key.view(np.int64)
@@ -53,7 +64,7 @@ def _unit(values: list) -> np.ndarray | None:
     return x / np.sqrt(x @ x)
 
 
-def _hashed(seed: int):
+def _hashed(seed: int, tables: int, projections: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cls, label, units = batch.column("cls").to_pylist(), batch.column("label").to_pylist(), [_unit(v) for v in batch.column("embedding").to_pylist()]
@@ -63,7 +74,7 @@ def _hashed(seed: int):
                     sizes.setdefault(len(u), []).append(i)
             for rows in sizes.values():
                 x = np.stack([units[i] for i in rows])
-                keys = _keys(x, seed)
+                keys = _keys(x, seed, tables, projections)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([cls[i] for i in rows], pa.int64()), pa.array([label[i] for i in rows], pa.string()), pa.array([u.tobytes() for u in x], pa.binary()), pa.array(keys.tolist(), pa.list_(pa.int64()))],
                     ["cls", "label", "unit", "keys"],
@@ -171,18 +182,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, seed: int = 7, b
     Only vectors of equal, non-null label are compared. A vector that is null, empty or
     zero, or holds a null or non-finite component, links with nothing and is its own
     component. Equal vectors link with each other. Rows that repeat a vec_id count as
-    separate vectors; vec_id must not be null. Other columns are ignored.
+    separate vectors, each with its own links; vec_id must not be null. Other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
     rows = rows.withColumn("same", F.sha2(F.concat_ws("|", F.col("embedding").cast("string"), "label"), 256))
     fit = F.expr("label is not null and size(embedding) > 0 and forall(embedding, v -> v is not null and not isnan(v) and abs(v) < double('infinity')) and exists(embedding, v -> v <> 0)")
     ids = written(rows.withColumn("fit", F.coalesce(fit, F.lit(False))).select("vec_id", "same", "fit"), "vectors")
-    # a class's members and its least id; the id stands for the class
-    sizes = ids.where("fit").groupBy("same").agg(F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("members"))
-    sizes = written(sizes, "classes")
-    chosen = rows.join(sizes.select("same", "cls", "members"), "same").where("vec_id = cls").dropDuplicates(["same"])
+    # a class's members, its least vec_id and a number of its own, fixed once the table is written
+    sizes = ids.where("fit").groupBy("same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("members"))
+    sizes = written(sizes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    chosen = rows.join(sizes, "same").where("vec_id = rep").dropDuplicates(["same"])
     members = chosen.select("cls", "members")
-    hashed = written(chosen.select("cls", "label", "embedding").mapInArrow(_hashed(seed), "cls long, label string, unit binary, keys array<long>").join(members, "cls"), "hashed")
+    hashed = written(chosen.select("cls", "label", "embedding").mapInArrow(_hashed(seed, *plan(sizes.count())), "cls long, label string, unit binary, keys array<long>").join(members, "cls"), "hashed")
     spots = hashed.select("cls", "members", "label", "unit", "keys", F.posexplode("keys").alias("tbl", "key"))
     crowd = spots.groupBy("tbl", "label", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("blocks", F.expr(f"cast((n + {block - 1}) div {block} as int)"))
     placed = spots.join(crowd, ["tbl", "label", "key"]).withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
@@ -195,9 +206,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, seed: int = 7, b
     roots = components(met.select("a", "b"), "root")
     degree = met.groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("linked"))
     info = sizes.join(degree, "cls", "left").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    info = info.select("same", "members", F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("root", "cls").alias("root"))
+    info = info.select("same", "rep", "members", F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("root", "cls").alias("root"))
+    least = info.groupBy("root").agg(F.min("rep").alias("component"))
+    info = info.join(least, "root").drop("root", "rep")
     out = ids.join(info.withColumn("fit", F.lit(True)), ["same", "fit"], "left")
-    component = F.coalesce("root", "vec_id")
+    component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("linked") + F.col("members") - 1, F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
 
 

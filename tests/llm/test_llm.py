@@ -476,3 +476,24 @@ def test_packing_spreads_copies_of_a_row(spark):
     assert len(got) == 349
     groups = Counter(r["sequence_id"] >> 32 for r in got if r["doc_id"] == 1)
     assert len(groups) >= 15 and max(groups.values()) < 60
+
+
+def test_embeddings_with_repeated_ids(spark):
+    v, u = [1.0, 0.0, 0.0, 0.1], [0.0, 1.0, 0.0, 0.0]
+    table = spark.createDataFrame([(5, v, 1), (5, u, 1), (7, v, 1), (8, u, 2)], "vec_id long, embedding array<double>, label int")
+    got = Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_lsh.near_duplicates(table).collect())
+    assert got == Counter([(5, 1, 5), (5, 0, 5), (7, 1, 5), (8, 0, 8)])
+
+
+def test_embedding_plan_keeps_recall_as_it_grows():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    y = 0.981 * x + np.sqrt(1 - 0.981**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    for n in (10, 1 << 16, 1 << 22, 1 << 30):
+        tables, projections = embedding_lsh.plan(n)
+        a, b = (embedding_lsh._keys(z, 7, tables, projections) for z in (x, y))
+        assert (a == b).any(axis=1).mean() >= 0.9
+    assert embedding_lsh.plan(10) == (embedding_lsh.TABLES, embedding_lsh.PROJECTIONS)
