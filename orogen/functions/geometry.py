@@ -124,6 +124,96 @@ def box_octants(b: Column) -> Column:
     return F.array(*parts)
 
 
+def box_halves(b: Column, axis: str, at: float = 0.5) -> Column:
+    """The two boxes on either side of the plane that cuts ``axis`` at the share ``at``, the lower first."""
+    low, high = part(b, "lo"), part(b, "hi")
+    cut = lerp(part(low, axis), part(high, axis), at)
+    moved = lambda v: vec(*[cut if a == axis else part(v, a) for a in "xyz"])
+    return F.array(box(low, moved(high)), box(moved(low), high))
+
+
+def box_quarters(b: Column, axis: str, at: Column | None = None) -> Column:
+    """The four boxes about ``at`` (the centre) in the plane across ``axis``, the other axes' first varying slower for x, faster else."""
+    low, high = part(b, "lo"), part(b, "hi")
+    mid = scale(add(low, high), 0.5) if at is None else at
+    one, two = [a for a in "xyz" if a != axis]
+    if axis == "x":
+        one, two = two, one  # z varies faster than y
+    out = []
+    for k in range(4):
+        upper = {one: k & 1, two: k >> 1}
+        out.append(box(vec(*[part(mid, a) if upper.get(a) else part(low, a) for a in "xyz"]), vec(*[part(mid, a) if a in upper and not upper[a] else part(high, a) for a in "xyz"])))
+    return F.array(*out)
+
+
+def _extents(b: Column) -> Column:
+    return sub(part(b, "hi"), part(b, "lo"))
+
+
+def box_longest_axis(b: Column) -> Column:
+    """x, y or z: the axis of greatest extent, the first on ties."""
+    d = _extents(b)
+    x, y, z = (part(d, a) for a in "xyz")
+    return F.when((x >= y) & (x >= z), "x").when(y >= z, "y").otherwise("z")
+
+
+def box_shortest_axis(b: Column) -> Column:
+    d = _extents(b)
+    x, y, z = (part(d, a) for a in "xyz")
+    return F.when((x <= y) & (x <= z), "x").when(y <= z, "y").otherwise("z")
+
+
+def box_union(a: Column, b: Column) -> Column:
+    lo = vec(*[F.least(part(part(a, "lo"), c), part(part(b, "lo"), c)) for c in "xyz"])
+    return box(lo, vec(*[F.greatest(part(part(a, "hi"), c), part(part(b, "hi"), c)) for c in "xyz"]))
+
+
+def box_contains_nearly(b: Column, p: Column, slack: float = 1e-6) -> Column:
+    """Whether a point lies in a box or at most ``slack`` beyond a side."""
+    return _all(lambda lo, hi, v: (v >= lo - slack) & (v <= hi + slack), part(b, "lo"), part(b, "hi"), p)
+
+
+def box_holds_nearly(outer: Column, inner: Column, slack: float = 1e-6) -> Column:
+    return _all(lambda lo, hi, a, z: (a >= lo - slack) & (z <= hi + slack), part(outer, "lo"), part(outer, "hi"), part(inner, "lo"), part(inner, "hi"))
+
+
+def is_finite(v: Column) -> Column:
+    return v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
+
+
+def curvature(p1: Column, p2: Column, n1: Column, n2: Column) -> Column:
+    """Change of the normal along the way from one point to the other, per unit of way; null for equal points."""
+    d = sub(p2, p1)
+    return dot(sub(n2, n1), d) / F.nullif(dot(d, d), F.lit(0.0))
+
+
+def yaw_pitch_roll(q: Column) -> Column:
+    """struct<yaw, pitch, roll> in radians of a unit quaternion: turns about y, x and z; pitch at most a quarter turn."""
+    x, y, z, w = (part(q, c) for c in "xyzw")
+    lift = 2 * (w * x - y * z)
+    pitch = F.when(F.abs(lift) >= 1, F.signum(lift) * F.pi() / 2).otherwise(F.asin(lift))
+    return F.struct(F.atan2(2 * (w * y + x * z), 1 - 2 * (x * x + y * y)).alias("yaw"), pitch.alias("pitch"), F.atan2(2 * (w * z + x * y), 1 - 2 * (x * x + z * z)).alias("roll"))
+
+
+def closest_on_segment(p: Column, a: Column, b: Column) -> Column:
+    along = sub(b, a)
+    t = F.coalesce(dot(sub(p, a), along) / F.nullif(dot(along, along), F.lit(0.0)), F.lit(0.0))
+    return add(a, scale(along, F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))))
+
+
+def closest_on_triangle(p: Column, a: Column, b: Column, c: Column) -> Column:
+    """The point of a triangle nearest to ``p``: its foot on the plane if that lies inside, else the nearest of the sides' points."""
+    n = cross(sub(b, a), sub(c, a))
+    size = F.nullif(dot(n, n), F.lit(0.0))
+    foot = sub(p, scale(n, dot(sub(p, a), n) / size))
+    inside = F.lit(True)
+    for s, t in ((a, b), (b, c), (c, a)):
+        inside = inside & (dot(cross(sub(t, s), sub(foot, s)), n) >= 0)
+    sides = [closest_on_segment(p, s, t) for s, t in ((a, b), (b, c), (c, a))]
+    ranked = [F.struct(dot(sub(p, q), sub(p, q)).alias("d"), F.lit(i).alias("i"), F.struct(*[part(q, x).alias(x) for x in "xyz"]).alias("q")) for i, q in enumerate(sides)]
+    return F.when(F.coalesce(inside, F.lit(False)), F.struct(*[part(foot, x).alias(x) for x in "xyz"])).otherwise(F.array_min(F.array(*ranked))["q"])
+
+
 def triangle_area(a: Column, b: Column, c: Column) -> Column:
     return length(cross(sub(b, a), sub(c, a))) / 2
 
@@ -236,3 +326,13 @@ def rgb_to_lab(r: Column, g: Column, b: Column) -> Column:
         t = (lin[0] * kr + lin[1] * kg + lin[2] * kb) / white
         f.append(F.when(t > 216 / 24389, F.cbrt(t)).otherwise((t * 24389 / 27 + 16) / 116))
     return F.struct((116 * f[1] - 16).alias("l"), (500 * (f[0] - f[1])).alias("a"), (200 * (f[1] - f[2])).alias("b"))
+
+
+def hsv_to_rgb(h: Column, s: Column, v: Column) -> Column:
+    """struct<r, g, b> in 0 to 1 of a hue in degrees, a saturation and a value."""
+
+    def channel(n: int) -> Column:
+        k = F.pmod(F.lit(float(n)) + h / 60, F.lit(6.0))
+        return v - v * s * F.greatest(F.lit(0.0), F.least(k, 4 - k, F.lit(1.0)))
+
+    return F.struct(channel(5).alias("r"), channel(3).alias("g"), channel(1).alias("b"))

@@ -6,25 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def glob_to_regex(pattern: str) -> str:
-    """An anchored regular expression for a glob: * and ? stay within a path part, ** crosses parts."""
-    out, i = "", 0
-    while i < len(pattern):
-        c = pattern[i]
-        if pattern[i : i + 2] == "**":
-            out, i = out + ".*", i + 1
-        elif c == "*":
-            out += "[^/]*"
-        elif c == "?":
-            out += "[^/]"
-        else:
-            out += "\\" + c if c in ".^$+{}[]()|\\" else c
-        i += 1
-    return f"^{out}$"
-
-
-def like_glob(col: Column, pattern: str, ignore_case: bool = False) -> Column:
-    return col.rlike(("(?i)" if ignore_case else "") + glob_to_regex(pattern))
+def glob_to_regex(pattern: str, full: bool = True, slashes: bool = True, alternation: bool = False) -> str:
+    """A regular expression for a glob: * and ? also match slashes unless ``slashes`` is off; (a|b) only with ``alternation``."""
+    some = "." if slashes else r"[^/\\]"
+    plain = "()|" if alternation else ""
+    out = "".join(some if c == "?" else some + "*" if c == "*" else c if c.isalnum() or c in "_" + plain else "\\" + c for c in pattern)
+    return f"^{out}$" if full else out
+
+
+def like_glob(col: Column, pattern: str, ignore_case: bool = False, **options: bool) -> Column:
+    return col.rlike(("(?is)" if ignore_case else "(?s)") + glob_to_regex(pattern, **options))
 
 
 def url_scheme(url: Column) -> Column:
@@ -82,15 +73,38 @@ def version_number(text: Column) -> Column:
     return F.aggregate(symbols, F.lit(0).cast("long"), lambda acc, c: acc * 10 + symbol_value(c).cast("long"))
 
 
-def site_drive(text: Column) -> Column:
-    """struct<site, drive> of a site-drive id: 3 + 4 characters, or 5 + 5; null if malformed."""
-    short = F.regexp_extract(text, "^([0-9A-Z]{3})([0-9A-Z]{4})$", 1) != ""
-    long_ = F.regexp_extract(text, "^([0-9]{5})([0-9]{5})$", 1) != ""
+def geocell(code: Column, bits: int) -> Column:
+    """struct<west, south, east, north> of the cell of a ``geocode`` of that many bits."""
+    x = y = F.lit(0).cast("long")
+    for i in range(bits):
+        x = x + F.shiftleft(F.shiftright(code, 2 * i + 1).bitwiseAND(F.lit(1)), i)
+        y = y + F.shiftleft(F.shiftright(code, 2 * i).bitwiseAND(F.lit(1)), i)
+    n = float(1 << bits)
+    return F.struct((x * (360 / n) - 180).alias("west"), (y * (180 / n) - 90).alias("south"), ((x + 1) * (360 / n) - 180).alias("east"), ((y + 1) * (180 / n) - 90).alias("north"))
+
+
+def containing_prefix(a: Column, b: Column, bits: int) -> Column:
+    """The codes' common leading pairs of bits as a string of digits 0 to 3: the least cell that holds both."""
+    def digits(code: Column) -> list[Column]:
+        return [F.shiftright(code, 2 * i).bitwiseAND(F.lit(3)) for i in range(bits - 1, -1, -1)]
 
-    def part(a: int, n: int) -> Column:
-        return F.try_to_number(F.substring(text, a, n), F.lit("9" * n)).cast("int")
+    out, same = F.lit(""), F.lit(True)
+    for x, y in zip(digits(a), digits(b), strict=True):
+        same = same & (x == y)
+        out = F.concat(out, F.when(same, x.cast("string")).otherwise(""))
+    return out
 
-    return F.when(short, F.struct(part(1, 3).alias("site"), part(4, 4).alias("drive"))).when(long_, F.struct(part(1, 5).alias("site"), part(6, 5).alias("drive")))
+
+def overlapping_cells(west: Column, south: Column, east: Column, north: Column, bits: int) -> Column:
+    """Array of the ``geocode`` cells of a level that meet a box."""
+    n = 1 << bits
+
+    def at(value: Column, low: float, size: float) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(n - 1), F.floor((value - low) / size * n))).cast("long")
+
+    spread = lambda v: sum((F.shiftleft(F.shiftright(v, i).bitwiseAND(F.lit(1)), 2 * i) for i in range(1, bits)), v.bitwiseAND(F.lit(1)))
+    xs, ys = F.sequence(at(west, -180.0, 360.0), at(east, -180.0, 360.0)), F.sequence(at(south, -90.0, 180.0), at(north, -90.0, 180.0))
+    return F.array_sort(F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.shiftleft(spread(x), 1) + spread(y)))))
 
 
 def geocode(lon: Column, lat: Column, bits: int) -> Column:
@@ -103,10 +117,47 @@ def geocode(lon: Column, lat: Column, bits: int) -> Column:
     return out.cast("long")
 
 
-def normalize_slashes(path: Column) -> Column:
-    """Backslashes as slashes, runs collapsed, no trailing slash; the double slash of a scheme stays."""
-    flat = F.regexp_replace(F.translate(path, "\\", "/"), "(?<!:)/+", "/")
-    return F.regexp_replace(flat, "(?<=[^/:])/+$", "")
+def normalize_slashes(path: Column, keep_last: bool = False) -> Column:
+    """Backslashes as slashes and, unless kept, no slashes at the end; runs inside stay."""
+    flat = F.translate(path, "\\", "/")
+    return flat if keep_last else F.regexp_replace(flat, "/+$", "")
+
+
+def normalize_url(url: Column, scheme: str | None = None, keep_last: bool = False) -> Column:
+    """``normalize_slashes`` with scheme and host in lower case; with ``scheme``, that scheme is ensured instead."""
+    flat = normalize_slashes(url, keep_last)
+    if scheme:
+        return ensure_protocol(flat, scheme)
+    head = F.regexp_extract(flat, "^(.*?://[^/]*)", 1)
+    return F.concat(F.lower(head), F.substring(flat, F.length(head) + 1, F.length(flat)))
+
+
+def parse_int(text: Column) -> Column:
+    """A 32-bit integer, blanks around it allowed; null if it is none."""
+    return F.when(text.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(text).try_cast("int"))
+
+
+def parse_float(text: Column) -> Column:
+    """A decimal number as float, with sign, fraction and exponent; null if it is none."""
+    return F.when(text.rlike(r"^\s*[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?\s*$"), F.trim(text).try_cast("float"))
+
+
+def remove_spans(text: Column, spans: list[tuple[int, int]]) -> Column:
+    """Without the (start from 0, length) spans, which refer to the whole text and may overlap."""
+    gone = sorted({i for start, n in spans for i in range(start, start + n)})
+    kept, at = [], 0
+    for i in gone:
+        if i > at:
+            kept.append(F.substring(text, at + 1, i - at))
+        at = i + 1
+    return F.concat(*kept, F.substring(text, at + 1, 1 << 30))
+
+
+def common_prefix(df, column: str, *keys: str):
+    """Rows (keys, prefix): the longest common beginning of a group's strings, that of its least and greatest."""
+    ends = df.where(F.col(column).isNotNull()).groupBy(*keys).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    same = F.expr("filter(sequence(0, least(length(lo), length(hi))), n -> substring(lo, 1, n) = substring(hi, 1, n))")
+    return ends.select(*keys, F.substring("lo", F.lit(1), F.array_max(same)).alias("prefix"))
 
 
 def strip_protocol(url: Column) -> Column:

@@ -6,40 +6,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Rows (node, component): connected components, labelled by their least node.
 
-    Every round takes the least label among neighbours and then the label's own label, so
-    paths shorten by doubling. Lineage is cut by reliable checkpoints where a checkpoint
-    folder is set.
+    Large-star and small-star steps by turns: every node's greater neighbours, then its lesser
+    ones, are linked to its least neighbour, until nothing changes; long paths halve in each
+    turn. Hubs are reduced by partial aggregation. Lineage is cut by reliable checkpoints where
+    a checkpoint folder is set.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
-    both = _cut(pairs.union(pairs.select("v", "u")).distinct())
-    labels = _cut(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
-    for _ in range(rounds):
-        near = both.join(labels, both.v == labels.node).groupBy("u").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels.node == near.u, "left").select("node", "label", F.least("label", "near").alias("new"))
-        jump = labels.select(F.col("node").alias("at"), F.col("label").alias("far"))
-        step = _cut(step.join(jump, F.col("new") == F.col("at")).select("node", "label", F.least("new", "far").alias("new")))
-        changed = step.where("new <> label").limit(1).count()
-        labels = step.select("node", F.col("new").alias("label"))
-        if not changed:
+    alone = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "node")
+    links = cut(pairs.where("u <> v").select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct())
+    seen = _state(links)
+    while seen[0]:
+        both = links.union(links.select("lo", "hi")).toDF("u", "v")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(low, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        links = cut(small.union(low.select("hi", "m")).distinct())
+        seen, before = _state(links), seen
+        if seen == before:
             break
-    return labels.select("node", F.col("label").alias("component"))
+    return alone.join(links, F.col("node") == F.col("hi"), "left").select("node", F.coalesce("lo", "node").alias("component"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def _state(links: DataFrame) -> tuple[int, int]:
+    r = links.agg(F.count(F.lit(1)), F.expr("coalesce(bit_xor(xxhash64(hi, lo)), 0)")).first()
+    return r[0], r[1]
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` from a reliable checkpoint, if the session names a folder for them."""
     spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint() if folder or spark.sparkContext.getCheckpointDir() else df
 
 
 def hierarchy(nodes: DataFrame, ident: str, parent: str, levels: int) -> DataFrame:
     """Rows (node, path, depth, root): ids from the root down, by doubling ancestor pointers.
 
-    After round k every node knows 2**k ancestors, so ``levels`` is met after log2 rounds.
-    Nodes whose chain ends at a missing parent keep the path found so far, root null.
+    After round k every node knows 2**k ancestors, so ``levels`` is met after log2 rounds; a
+    chain of more than ``levels`` nodes, or a circle, raises. Nodes whose chain ends at a missing
+    parent keep the path found so far, root null.
     """
     at = nodes.select(F.col(ident).alias("node"), F.col(parent).alias("up"), F.array(ident).alias("path"))
     done = 1
@@ -49,7 +60,9 @@ def hierarchy(nodes: DataFrame, ident: str, parent: str, levels: int) -> DataFra
             "node", F.when(F.col("p").isNotNull(), F.col("up2")).otherwise(F.col("up")).alias("up"), F.concat(F.coalesce("path2", F.array().cast(at.schema["path"].dataType)), "path").alias("path")
         )
         done *= 2
-    return at.select("node", "path", (F.size("path") - 1).alias("depth"), F.when(F.col("up").isNull(), F.col("path")[0]).alias("root"))
+    more = at.join(nodes.select(F.col(ident).alias("__known")), F.col("up") == F.col("__known"), "left")
+    path = F.when(F.col("__known").isNotNull(), F.raise_error(F.lit(f"a chain is longer than {levels} nodes"))).otherwise(F.col("path"))
+    return more.select("node", path.alias("path"), "up").select("node", "path", (F.size("path") - 1).alias("depth"), F.when(F.col("up").isNull(), F.col("path")[0]).alias("root"))
 
 
 def quadkeys(x: Column, y: Column, levels: int) -> list[Column]:

@@ -19,11 +19,13 @@ def range_join(left: DataFrame, right: DataFrame, point: Column, low: Column, hi
 
 def asof_previous(df: DataFrame, keys: list[str], at: str, value: Column, within: Column | None = None, name: str = "previous") -> DataFrame:
     """``df`` with the last non-null ``value`` strictly before each row, at most ``within`` old (a bound on its time)."""
-    before = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.dense_rank().over(Window.partitionBy(*keys).orderBy(at))  # rows of one time share a place
+    before = Window.partitionBy(*keys).orderBy("__place").rangeBetween(Window.unboundedPreceding, -1)
     found = F.last(F.when(value.isNotNull(), F.struct(F.col(at).alias("t"), value.alias("v"))), ignorenulls=True).over(before)
+    df = df.withColumn("__place", place)
     out = df.withColumn("__f", found)
     ok = F.lit(True) if within is None else F.col("__f.t") >= within
-    return out.withColumn(name, F.when(ok, F.col("__f.v"))).drop("__f")
+    return out.withColumn(name, F.when(ok, F.col("__f.v"))).drop("__f", "__place")
 
 
 def ordered_pairs(df: DataFrame, key: str, condition: Column | None = None) -> DataFrame:

@@ -1,5 +1,5 @@
 """Registered queries, by family."""
 
-from . import events, joining, selection, space, statistics, structure, terrain
+from . import events, joining, measures, selection, space, statistics, structure, terrain
 
-MODULES = [selection, joining, statistics, structure, events, terrain, space]
+MODULES = [selection, joining, statistics, structure, events, terrain, space, measures]

@@ -62,7 +62,7 @@ def raster_std_stretch(spark, sf_dir):
 
 
 def _faces(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0")
+    lines = read(spark, sf_dir, "lineitem")
     cols = [(F.col(c) % m).cast("int").alias(p) for c, m, p in (("l_partkey", 40, "p0"), ("l_suppkey", 40, "p1"), ("l_linenumber", 7, "p2"))]
     return lines.select(F.lit("m").alias("mesh"), F.hash("l_orderkey", "l_linenumber").alias("fid"), *cols)
 
@@ -79,7 +79,7 @@ def mesh_clean(spark, sf_dir):
 
 def height_map(spark, sf_dir):
     points = read(spark, sf_dir, "embeddings").select(*[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("xyz")])
-    return mesh.height_map(points, 0.1).select("row", "col", F.round("z", 6).alias("z"), "n")
+    return mesh.mean_heights(points, 0.1).select("row", "col", F.round("z", 6).alias("z"), "n")
 
 
 QUERIES = {
@@ -89,7 +89,7 @@ QUERIES = {
 
 _E = "(SELECT vec_id, {} FROM embeddings)".format(", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, 10)))
 _IMG = "i AS (SELECT CAST(extract(day FROM ts) AS INTEGER) - 1 AS row, CAST(extract(hour FROM ts) AS INTEGER) AS col, avg(value) AS val FROM events GROUP BY 1, 2)"
-_TRI = "t AS (SELECT CAST(l_partkey % 40 AS INTEGER) AS p, CAST(l_suppkey % 40 AS INTEGER) AS s, CAST(l_linenumber % 7 AS INTEGER) AS o FROM lineitem WHERE l_orderkey % 20 = 0)"
+_TRI = "t AS (SELECT CAST(l_partkey % 40 AS INTEGER) AS p, CAST(l_suppkey % 40 AS INTEGER) AS s, CAST(l_linenumber % 7 AS INTEGER) AS o FROM lineitem)"
 _FACES = f"""{_TRI}, f AS (SELECT DISTINCT CASE WHEN p < s AND p < o THEN p WHEN s < p AND s < o THEN s ELSE o END AS p0, CASE WHEN p < s AND p < o THEN s WHEN s < p AND s < o THEN o ELSE p END AS p1,
     CASE WHEN p < s AND p < o THEN o WHEN s < p AND s < o THEN p ELSE s END AS p2 FROM t WHERE p <> s AND s <> o AND o <> p)"""
 _LIN = "(CASE WHEN {0} <= 0.04045 THEN {0} / 12.92 ELSE pow(({0} + 0.055) / 1.055, 2.4) END)"
@@ -111,8 +111,8 @@ ORACLES = {
         WHERE i.row = r.t * 31 // 10 AND i.col = c.t * 24 // 36""",
     "raster_std_stretch": f"""WITH {_IMG}, s AS (SELECT avg(val) AS m, stddev_pop(val) AS d FROM i)
         SELECT row, col, round(greatest(0, least(1, (val - m) / (d * 4) + 0.5)), 6) AS val FROM i, s""",
-    "mesh_perimeter": f"""WITH {_FACES}, e AS (SELECT least(p0, p1) AS a, greatest(p0, p1) AS b FROM f UNION ALL SELECT least(p1, p2), greatest(p1, p2) FROM f UNION ALL SELECT least(p2, p0), greatest(p2, p0) FROM f)
-        SELECT a, b FROM e GROUP BY 1, 2 HAVING count(*) = 1""",
+    "mesh_perimeter": f"""WITH {_FACES}, e AS (SELECT p0 AS a, p1 AS b FROM f UNION SELECT p1, p2 FROM f UNION SELECT p2, p0 FROM f)
+        SELECT a, b FROM e WHERE NOT EXISTS (SELECT 1 FROM e r WHERE r.a = e.b AND r.b = e.a)""",
     "mesh_clean": f"WITH {_FACES} SELECT p0, p1, p2 FROM f",
     "height_map": f"SELECT CAST(floor(e2 / 0.1) AS BIGINT) AS row, CAST(floor(e1 / 0.1) AS BIGINT) AS col, round(avg(e3), 6) AS z, count(*) AS n FROM {_E} GROUP BY 1, 2",
 }

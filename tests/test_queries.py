@@ -4,8 +4,8 @@ import duckdb
 import pytest
 
 from orogen import catalog
-from orogen.functions import text
-from orogen.operators import joins, ranking, stats
+from orogen.functions import ids, text
+from orogen.operators import graph, joins, ranking, stats
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -50,7 +50,7 @@ def test_entry_without_llm():
 def test_running_stats_reference_values(spark):
     from pyspark.sql import functions as F
 
-    values = [34.6, 45.1, 55.5, 78.5, 84.66, 1400.32, 99.04, 103.99, -1025.173, 0.0]
+    values = [12.5, 7.25, -3.0, 88.125, 0.0, 41.75, 1e3, -640.5, 2.0, 19.0]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     r = df.agg(*stats.running_stats(F.col("x"))).first()
     mean = sum(values) / 10
@@ -91,13 +91,39 @@ def test_range_join_bounds(spark):
 def test_versions_and_site_drives(spark):
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame([("_", "0311472"), ("1A", "0003100112"), ("09", "bad")], "v string, s string")
-    got = [(r["n"], tuple(r["d"]) if r["d"] else None) for r in df.select(text.version_number(F.col("v")).alias("n"), text.site_drive(F.col("s")).alias("d")).collect()]
-    assert got == [(36, (31, 1472)), (20, (31, 112)), (9, None)]
+    df = spark.createDataFrame([("_", "0311472"), ("1A", "0003100112"), ("09", "bad"), ("0", "A000012"), ("0", "xxx0012"), ("0", "001####"), ("0", "?????00007"), ("0", "___0001"), ("0", "0-10001")], "v string, s string")
+    got = [(r["n"], tuple(r["d"]) if r["d"] else None) for r in df.select(text.version_number(F.col("v")).alias("n"), ids.site_drive(F.col("s")).alias("d")).collect()]
+    assert got == [(36, (31, 1472)), (20, (31, 112)), (9, None), (0, (1000, 12)), (0, (-1, 12)), (0, (1, -1)), (0, (-1, 7)), (0, (32768, 1)), (0, None)]
 
 
 def test_globs():
     import re
 
-    assert re.match(text.glob_to_regex("a/*.txt"), "a/b.txt") and not re.match(text.glob_to_regex("a/*.txt"), "a/b/c.txt")
-    assert re.match(text.glob_to_regex("a/**.txt"), "a/b/c.txt") and re.match(text.glob_to_regex("?.[x]"), "q.[x]")
+    match = lambda glob, name, **options: bool(re.search(text.glob_to_regex(glob, **options), name))
+    assert match("a/*.txt", "a/b/c.txt") and not match("a/*.txt", "a/b/c.txt", slashes=False) and match("a/*.txt", "a/b.txt", slashes=False)
+    assert match("?.[x]", "q.[x]") and not match("b", "abc") and match("b", "abc", full=False)
+    assert match("(a|b)c", "bc", alternation=True) and not match("(a|b)c", "bc") and match("(a|b)c", "(a|b)c")
+
+
+def test_asof_is_strict_at_equal_times(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, 5, "a"), (1, 10, "b"), (1, 10, "c"), (1, 12, None), (1, 15, "d")]
+    df = spark.createDataFrame(rows, "k int, t int, v string")
+    got = {(r["t"], r["v"]): r["previous"] for r in joins.asof_previous(df, ["k"], "t", F.col("v")).collect()}
+    assert got[(5, "a")] is None and got[(10, "b")] == got[(10, "c")] == "a" and got[(12, None)] in ("b", "c") and got[(15, "d")] in ("b", "c")
+
+
+def test_components_of_a_long_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(400)] + [(500, 501), (7, 7), (600, 600)], "a int, b int")
+    got = {r["node"]: r["component"] for r in graph.components(edges, "a", "b").collect()}
+    assert got == {i: 0 for i in range(401)} | {500: 500, 501: 500, 600: 600}
+
+
+def test_hierarchy_refuses_chains_that_are_too_long(spark):
+    rows = [(i, i - 1 if i else None) for i in range(12)]
+    nodes = spark.createDataFrame(rows, "id int, parent int")
+    got = {r["node"]: (r["depth"], r["root"]) for r in graph.hierarchy(nodes, "id", "parent", 16).collect()}
+    assert got == {i: (i, 0) for i in range(12)}
+    with pytest.raises(Exception, match="longer than 4 nodes"):
+        graph.hierarchy(nodes, "id", "parent", 4).collect()
