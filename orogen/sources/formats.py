@@ -8,6 +8,7 @@ of bytes, usable and tested without a session.
 from __future__ import annotations
 
 import json
+import re
 import struct
 from collections.abc import Callable, Iterator
 
@@ -135,15 +136,21 @@ _STL = np.dtype([("normal", "<f4", 3), ("corners", "<f4", (3, 3)), ("extra", "<u
 
 
 def parse_stl(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """As ``parse_obj``, of a binary or ASCII STL; equal positions are one vertex."""
-    count = struct.unpack_from("<I", data, 80)[0] if len(data) >= 84 else -1
-    if len(data) == 84 + 50 * count:
-        corners = np.frombuffer(data, _STL, count, 84)["corners"].reshape(-1, 3).astype(float)
+    """As ``parse_obj``, of a binary or ASCII STL; corners equal in position and in their face's normal are one vertex."""
+    text = re.match(rb"\s*solid\b[^\0]*?\bfacet\b", data[:4096])
+    if text:
+        rows = [p for p in (x.split() for x in data.decode("ascii", "replace").splitlines()) if p]
+        normals = np.array([p[2:5] for p in rows if p[:2] == ["facet", "normal"]], float).reshape(-1, 3)
+        corners = np.array([p[1:4] for p in rows if p[0] == "vertex"], float).reshape(-1, 3, 3)
     else:
-        lines = (x.split() for x in data.decode("ascii", "replace").splitlines())
-        corners = np.array([[float(v) for v in p[1:4]] for p in lines if p[:1] == ["vertex"]]).reshape(-1, 3)
-    unique, index = np.unique(corners, axis=0, return_inverse=True)
-    return np.concatenate([unique, np.full((len(unique), 5), np.nan)], axis=1), index.reshape(-1, 3).astype(np.int32)
+        count = struct.unpack_from("<I", data, 80)[0] if len(data) >= 84 else -1
+        if count < 0 or len(data) < 84 + 50 * count:
+            raise ValueError("a binary STL is cut short")
+        found = np.frombuffer(data, _STL, count, 84)
+        normals, corners = found["normal"].astype(float), found["corners"].astype(float)
+    each = np.concatenate([corners.reshape(-1, 3), np.repeat(normals, 3, axis=0)], axis=1)
+    unique, index = np.unique(each, axis=0, return_inverse=True)
+    return np.concatenate([unique, np.full((len(unique), 2), np.nan)], axis=1), index.reshape(-1, 3).astype(np.int32)
 
 
 def format_stl(vertices: np.ndarray, faces: np.ndarray) -> bytes:
@@ -228,6 +235,13 @@ PARSERS: dict[str, Callable] = {"obj": parse_obj, "ply": parse_ply, "stl": parse
 PRINTERS: dict[str, Callable] = {"obj": format_obj, "ply": format_ply, "stl": format_stl}
 
 
+def register_mesh_format(kind: str, parse: Callable, printer: Callable | None = None) -> None:
+    """Make ``read_meshes`` and ``encode_meshes`` know files that end in ``kind``."""
+    PARSERS[kind] = parse
+    if printer:
+        PRINTERS[kind] = printer
+
+
 def files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
     """Rows (path, modificationTime, length, content); leave content out of a selection and it is not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).load(path)
@@ -280,8 +294,8 @@ def read_images(spark: SparkSession, path: str, pattern: str = "*.p?m") -> DataF
     return files(spark, path, pattern).select("path", "content").mapInPandas(run, PIXEL)
 
 
-def read_labels(spark: SparkSession, path: str, pattern: str = "*.IMG", head: int = 1 << 20) -> DataFrame:
-    """Rows (path, key, value) of image labels; only the first ``head`` bytes of a file's content are decoded."""
+def read_labels(spark: SparkSession, path: str, pattern: str = "*.IMG") -> DataFrame:
+    """Rows (path, key, value) of image labels; a label ends at END, however long it is."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -289,7 +303,20 @@ def read_labels(spark: SparkSession, path: str, pattern: str = "*.IMG", head: in
                 label = parse_pds_label(bytes(data))
                 yield pd.DataFrame({"path": name, "key": list(label), "value": list(label.values())})
 
-    return files(spark, path, pattern).select("path", F.substring("content", 1, head).alias("content")).mapInPandas(run, "path string, key string, value string")
+    return files(spark, path, pattern).select("path", "content").mapInPandas(run, "path string, key string, value string")
+
+
+def read_archives(spark: SparkSession, path: str, pattern: str = "*.tar*") -> DataFrame:
+    """Rows (path, name, content): the files in all archives under ``path``."""
+    from .containers import untar
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for archive, data in zip(pdf["path"], pdf["content"], strict=True):
+                for name, content in untar(bytes(data)):
+                    yield pd.DataFrame({"path": [archive], "name": [name], "content": [content]})
+
+    return files(spark, path, pattern).select("path", "content").mapInPandas(run, "path string, name string, content binary")
 
 
 def write_catalog(df: DataFrame, path: str, keys: list[str]) -> None:
