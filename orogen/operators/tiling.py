@@ -79,7 +79,12 @@ def too_fine(most: float, texels_per_area: float) -> Column:
 
 
 def build(triangles: DataFrame, scheme: str, split: Column, least: float = 0.0, levels: int = 16) -> DataFrame:
-    """Rows (tile, parent, level, n, area, box, is_leaf) of the tree over triangles (fid, a, b, c: structs of x, y, z).
+    """The tiles of ``build_with_members``."""
+    return build_with_members(triangles, scheme, split, least, levels)[0]
+
+
+def build_with_members(triangles: DataFrame, scheme: str, split: Column, least: float = 0.0, levels: int = 16) -> tuple[DataFrame, DataFrame]:
+    """(tiles, members (fid, tile) of the leaves): rows (tile, parent, level, n, area, box, is_leaf) of the tree over triangles (fid, a, b, c: structs of x, y, z).
 
     The root's box bounds all corners; a triangle belongs to the children's box that holds its
     centroid, the first of several. A tile splits when ``split`` (over n, area, box) holds and
@@ -94,7 +99,7 @@ def build(triangles: DataFrame, scheme: str, split: Column, least: float = 0.0,
     root = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0.0)).alias("area"), F.struct(corner(F.min, "l").alias("lo"), corner(F.max, "h").alias("hi")).alias("box"))
     level = cut(root.where("n > 0").select(F.lit("0").alias("tile"), F.lit(None).cast("string").alias("parent"), F.lit(0).alias("level"), "n", "area", "box"))
     inside = cut(rows.select("fid", "size", "mid", F.lit("0").alias("tile")))
-    done = None
+    done = settled = None
     for depth in range(levels):
         going = level.where(split).select("tile", SCHEMES[scheme](F.col("box"), least).alias("parts")).where("size(parts) > 1")
         moved = inside.join(going, "tile")  # skewed tiles are split by adaptive execution
@@ -107,13 +112,16 @@ def build(triangles: DataFrame, scheme: str, split: Column, least: float = 0.0,
         parents = children.select(F.col("parent").alias("tile"), F.lit(False).alias("__leaf")).distinct()
         level = level.join(parents, "tile", "left").withColumn("is_leaf", F.col("__leaf").isNull()).drop("__leaf")
         done = level if done is None else done.unionByName(level)
+        rest = inside.join(parents, "tile", "left_anti").select("fid", "tile")
+        settled = rest if settled is None else settled.union(rest)
         if not children.take(1):
-            return done
+            return done, settled
         names = children.select(F.col("parent").alias("tile"), F.col("tile").alias("child"))
         stay = moved.select("fid", "size", "mid", "tile", F.concat("tile", (F.col("part") - 1).cast("string")).alias("child"))
         inside = cut(stay.join(names, ["tile", "child"]).select("fid", "size", "mid", F.col("child").alias("tile")))
         level = children
-    return done.unionByName(level.withColumn("is_leaf", F.lit(True))) if done is not None else level.withColumn("is_leaf", F.lit(True))
+    level, inside = level.withColumn("is_leaf", F.lit(True)), inside.select("fid", "tile")
+    return (level, inside) if done is None else (done.unionByName(level), settled.union(inside))
 
 
 def geometric_errors(tiles: DataFrame, pixels: float, distances: DataFrame | None = None) -> DataFrame:
