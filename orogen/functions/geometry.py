@@ -336,3 +336,16 @@ def hsv_to_rgb(h: Column, s: Column, v: Column) -> Column:
         return v - v * s * F.greatest(F.lit(0.0), F.least(k, 4 - k, F.lit(1.0)))
 
     return F.struct(channel(5).alias("r"), channel(3).alias("g"), channel(1).alias("b"))
+
+
+def lab_to_rgb(l: Column, a: Column, b: Column) -> Column:
+    """struct<r, g, b> (sRGB, 0 to 1, clamped) of CIE values under D65."""
+    fy = (l + 16) / 116
+    # fixed values: the D65 white, and XYZ to sRGB primaries
+    xyz = []
+    for f, white in ((fy + a / 500, 0.95047), (fy, 1.0), (fy - b / 200, 1.08883)):
+        cube = f * f * f
+        xyz.append(F.when(cube > 216 / 24389, cube).otherwise((116 * f - 16) * 27 / 24389) * white)
+    rows = ((3.2404542, -1.5371385, -0.4985314), (-0.9692660, 1.8760108, 0.0415560), (0.0556434, -0.2040259, 1.0572252))
+    linear = [sum((k * v for k, v in zip(row[1:], xyz[1:], strict=True)), row[0] * xyz[0]) for row in rows]
+    return F.struct(*[linear_to_srgb(clamp(v, 0.0, 1.0)).alias(n) for v, n in zip(linear, "rgb", strict=True)])

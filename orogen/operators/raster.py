@@ -83,3 +83,55 @@ def inpaint_once(px: DataFrame, rows: int, cols: int) -> DataFrame:
 def chunks(px: DataFrame, size: int) -> DataFrame:
     """Pixels with the chunk that holds them, for partitioned storage."""
     return px.withColumns({"chunk_row": F.floor(F.col("row") / size).cast("int"), "chunk_col": F.floor(F.col("col") / size).cast("int")})
+
+
+def sample_bicubic(px: DataFrame, points: DataFrame, rows: int, cols: int) -> DataFrame:
+    """Values at fractional (row, col) of ``points`` (img, id, row, col) by Catmull-Rom weights of 4 x 4 pixels, clamped to the picture's edge."""
+    near = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1, 2) for j in (-1, 0, 1, 2)])
+    asked = points.select("img", "id", F.col("row").alias("y"), F.col("col").alias("x"), F.explode(near).alias("n"))
+    edge = lambda at, step, size: F.greatest(F.lit(0), F.least(F.lit(size - 1), F.floor(at) + step))
+    asked = asked.withColumns({"row": edge(F.col("y"), F.col("n.i"), rows), "col": edge(F.col("x"), F.col("n.j"), cols)})
+
+    def weight(at: Column, step: Column) -> Column:
+        d = F.abs(at - F.floor(at) - step)
+        return F.when(d <= 1, (1.5 * d - 2.5) * d * d + 1).otherwise(((-0.5 * d + 2.5) * d - 4) * d + 2)
+
+    both = weight(F.col("y"), F.col("n.i")) * weight(F.col("x"), F.col("n.j"))
+    return asked.join(px, ["img", "row", "col"]).groupBy("img", "id", "band").agg(F.sum(both * F.col("val")).alias("val"))
+
+
+def normalize(px: DataFrame) -> DataFrame:
+    """Each picture's values from its least to its greatest as 0 to 1; a flat one is 0."""
+    ends = px.groupBy("img").agg(F.min("val").alias("__l"), F.max("val").alias("__h"))
+    share = (F.col("val") - F.col("__l")) / F.nullif(F.col("__h") - F.col("__l"), F.lit(0.0))
+    return px.join(ends, "img").withColumn("val", F.coalesce(share, F.lit(0.0))).drop("__l", "__h")
+
+
+def trim(px: DataFrame, valid: Column) -> DataFrame:
+    """The least rectangle that holds all pixels for which ``valid`` holds, renumbered from 0."""
+    box = px.where(valid).groupBy("img").agg(F.min("row").alias("__r0"), F.max("row").alias("__r1"), F.min("col").alias("__c0"), F.max("col").alias("__c1"))
+    inside = px.join(box, "img").where("row between __r0 and __r1 and col between __c0 and __c1")
+    return inside.withColumns({"row": F.col("row") - F.col("__r0"), "col": F.col("col") - F.col("__c0")}).drop("__r0", "__r1", "__c0", "__c1")
+
+
+def densify(px: DataFrame, rows: int, cols: int, fill: float = 0.0) -> DataFrame:
+    """Chunked or sparse pixels as a whole picture: those that are missing get ``fill``."""
+    kinds = px.select("img", "band").distinct()
+    grid = kinds.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
+    return grid.join(px.select(*KEY, "val"), KEY, "left").withColumn("val", F.coalesce("val", F.lit(fill))).select(*KEY, "val")
+
+
+def convert_range(px: DataFrame, kind: str, to_unit: bool = True) -> DataFrame:
+    """Whole numbers of a kind (uint8, int16, uint16) as 0 to 1, or back, rounded to the nearest."""
+    low, high = {"uint8": (0, 255), "int16": (-32768, 32767), "uint16": (0, 65535)}[kind]
+    value = (F.col("val") - low) / (high - low) if to_unit else F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("val"))) * (high - low) + low)
+    return px.withColumn("val", value)
+
+
+def match_luminance(px: DataFrame, of: DataFrame, to: DataFrame, weight: float = 1.0) -> DataFrame:
+    """Values moved from one upper median and deviation (img, median, mad) to another, by the share ``weight``."""
+    weight = min(1.0, max(0.0, weight))
+    both = px.join(of.withColumnsRenamed({"median": "__m", "mad": "__d"}), "img").join(to.withColumnsRenamed({"median": "__tm", "mad": "__td"}), "img")
+    middle, width = F.col("__m") + (F.col("__tm") - F.col("__m")) * weight, F.col("__d") + (F.col("__td") - F.col("__d")) * weight
+    size = F.when(F.abs(F.col("__d")) > 1e-9, F.col("__d")).otherwise(1.0)
+    return both.withColumn("val", middle + (F.col("val") - F.col("__m")) / size * width).drop("__m", "__d", "__tm", "__td")
