@@ -251,7 +251,7 @@ _T = """t AS (SELECT vec_id AS vid, CAST(embedding[1] AS DOUBLE) AS x, CAST(embe
     FROM t a JOIN t b ON b.vid = a.vid + 1 JOIN t c ON c.vid = a.vid + 2 WHERE a.vid % 3 = 0)"""
 
 ORACLES = {
-    "site_drive_codes": f"WITH n AS (SELECT p_partkey, p_partkey * 37 % 32768 AS s, p_partkey * 91 % 65536 AS d FROM part) SELECT p_partkey, ({_SITE}) || ({_DRIVE}) AS code, s AS site, d AS drive FROM n",
+    "site_drive_codes": f"WITH n AS (SELECT p_partkey, p_partkey * 37 % 32768 AS s, p_partkey * 91 % 65536 AS d FROM part) SELECT p_partkey, ({_SITE}) || ({_DRIVE}) AS code, CASE WHEN s = 26529 THEN -1 ELSE s END AS site, d AS drive FROM n",
     "version_chain": "SELECT p_partkey, repeat('X', 35) || unnest(range(p_partkey % 6 + 1, -1, -1)) AS id FROM part",
     "camera_kinds": """SELECT p_partkey, p_size % 6 AS rank, CASE p_size % 4 WHEN 0 THEN p_partkey % 5 IN (0, 1, 4) WHEN 1 THEN p_partkey % 5 = 0 WHEN 2 THEN p_partkey % 5 = 2 ELSE p_partkey % 5 = 3 END AS of_kind FROM part""",
     "readable_numbers": """WITH n AS (SELECT o_orderkey, o_orderkey * 977 AS ms, fmod(CAST(o_totalprice AS DOUBLE) * o_orderkey, 3e7) + 0.003 AS b FROM orders), s AS (SELECT *, ms // 1000 AS s FROM n)

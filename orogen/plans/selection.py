@@ -58,8 +58,7 @@ def point_lookup(spark, sf_dir):
 
 
 def budget_parts(spark, sf_dir):
-    parts = read(spark, sf_dir, "part").where("p_partkey <= 50")
-    return greedy_budget(parts, [], ["p_partkey"], "p_size", 200, ["p_partkey", "p_size"])
+    return greedy_budget(read(spark, sf_dir, "part"), [], ["p_partkey"], "p_size", 2010, ["p_partkey", "p_size"])
 
 
 def limited_suppliers(spark, sf_dir):
@@ -122,9 +121,9 @@ ORACLES = {
         UNION ALL SELECT c_custkey + 1000000000, c_name, round(c_acctbal, 2) FROM customer WHERE c_custkey % 11 = 0""",
     "point_lookup": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT n_nationkey * 3 + 1 FROM nation)",
     "greedy_budget": """
-        WITH RECURSIVE r AS (SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_partkey) AS i FROM part WHERE p_partkey <= 50),
+        WITH RECURSIVE r AS (SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_partkey) AS i FROM part),
         w AS (SELECT 0 AS i, 0 AS total, false AS kept UNION ALL
-            SELECT r.i, CASE WHEN total + p_size <= 200 THEN total + p_size ELSE total END, total + p_size <= 200 FROM w JOIN r ON r.i = w.i + 1)
+            SELECT r.i, CASE WHEN total + p_size <= 2010 THEN total + p_size ELSE total END, total + p_size <= 2010 FROM w JOIN r ON r.i = w.i + 1)
         SELECT CAST(row_number() OVER (ORDER BY r.i) - 1 AS INTEGER) AS pos, p_partkey, p_size FROM w JOIN r ON r.i = w.i WHERE kept""",
     "greedy_limits": """
         WITH RECURSIVE c AS (SELECT s_nationkey, s_suppkey, n, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS i

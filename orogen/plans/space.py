@@ -12,13 +12,13 @@ def _points(spark, sf_dir):
     return read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), *[(F.col("embedding")[i].cast("double") * 10).alias(c) for i, c in enumerate("xyz")])
 
 
-def _boxes(spark, sf_dir, modulus):
+def _boxes(spark, sf_dir):
     size = 0.2 + F.col("id") % 5 * 0.1
-    return _points(spark, sf_dir).where(F.col("id") % modulus == 0).select("id", *[e.alias(f"{m}{a}") for a in "xyz" for m, e in (("min", F.col(a) - size), ("max", F.col(a) + size))])
+    return _points(spark, sf_dir).select("id", *[e.alias(f"{m}{a}") for a in "xyz" for m, e in (("min", F.col(a) - size), ("max", F.col(a) + size))])
 
 
 def box_join(spark, sf_dir):
-    return spatial.box_join(_boxes(spark, sf_dir, 2), _boxes(spark, sf_dir, 3), 1.0)
+    return spatial.box_join(_boxes(spark, sf_dir), _boxes(spark, sf_dir), 1.0).where("left_id < right_id")
 
 
 def radius_join(spark, sf_dir):
@@ -27,7 +27,7 @@ def radius_join(spark, sf_dir):
 
 
 def leaf_groups(spark, sf_dir):
-    pairs = spatial.box_join(_boxes(spark, sf_dir, 2), _boxes(spark, sf_dir, 25), 1.0)
+    pairs = spatial.box_join(_boxes(spark, sf_dir), _boxes(spark, sf_dir), 1.0)
     groups = spatial.dependency_groups(pairs, "left_id", "right_id", 4)
     return groups.select("left_id", F.array_join("deps", ",").alias("deps"), F.col("part").cast("long").alias("part"), "n")
 
@@ -50,9 +50,9 @@ _MEET = " AND ".join(f"a.{c} - a.s <= b.{c} + b.s AND b.{c} - b.s <= a.{c} + a.s
 _D = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))"
 
 ORACLES = {
-    "box_join": f"WITH {_P} SELECT a.id AS left_id, b.id AS right_id FROM p a JOIN p b ON a.id % 2 = 0 AND b.id % 3 = 0 AND {_MEET}",
+    "box_join": f"WITH {_P} SELECT a.id AS left_id, b.id AS right_id FROM p a JOIN p b ON a.id < b.id AND {_MEET}",
     "radius_join": f"WITH {_P} SELECT a.id AS left_id, b.id AS right_id, round({_D}, 6) AS dist FROM p a JOIN p b ON a.id < b.id AND {_D} <= 0.6",
-    "leaf_groups": f"""WITH {_P}, s AS (SELECT a.id AS left_id, array_to_string(list_sort(list(DISTINCT b.id)), ',') AS deps FROM p a JOIN p b ON a.id % 2 = 0 AND b.id % 25 = 0 AND {_MEET} GROUP BY 1),
+    "leaf_groups": f"""WITH {_P}, s AS (SELECT a.id AS left_id, array_to_string(list_sort(list(DISTINCT b.id)), ',') AS deps FROM p a JOIN p b ON {_MEET} GROUP BY 1),
         g AS (SELECT *, (row_number() OVER (PARTITION BY deps ORDER BY left_id) - 1) // 4 AS part FROM s) SELECT left_id, deps, part, count(*) OVER (PARTITION BY deps, part) AS n FROM g""",
     "point_density": f"""WITH {_P}, d AS (SELECT a.id, b.id AS other, {_D} AS dist FROM p a JOIN p b ON a.id <> b.id AND {_D} <= 1.0),
         k AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, other) <= 4) SELECT id, count(*) AS neighbours, round(avg(dist), 6) AS mean_dist FROM k GROUP BY 1""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import geocode, hamming, sha_prefix, version_number
@@ -22,15 +23,18 @@ def hierarchy_path(spark, sf_dir):
 
 
 def lca(spark, sf_dir):
-    paths = hierarchy(_tree(spark, sf_dir), "id", "parent", 4).where("node like 'n%'").select("node", "path")
-    a, b = paths.select(F.col("node").alias("a"), F.col("path").alias("pa")), paths.select(F.col("node").alias("b"), F.col("path").alias("pb"))
+    """The deepest common ancestor of every customer and the next one."""
+    paths = hierarchy(_tree(spark, sf_dir), "id", "parent", 4).select("node", "path")
+    keys = read(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("a"), F.concat(F.lit("c"), (F.col("c_custkey") + 1).cast("string")).alias("b"))
+    met = keys.join(paths.toDF("a", "pa"), "a").join(paths.toDF("b", "pb"), "b")
     common = F.filter("pa", lambda x: F.array_contains("pb", x))
-    return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.element_at(F.when(F.size(common) > 0, common).otherwise(F.array(F.lit(None))), -1).alias("lca"))
+    return met.select("a", "b", F.try_element_at(common, F.lit(-1)).alias("lca"))
 
 
 def _edges(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").where("l_partkey % 10 = 0 and l_suppkey % 4 = 0")
-    return lines.select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b"))
+    """Each order and its customer's next one: a path for each customer."""
+    following = F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderdate", F.col("o_orderkey") % 7, "o_orderkey"))
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("a"), F.coalesce(following, "o_orderkey").alias("b"))
 
 
 def part_components(spark, sf_dir):
@@ -110,12 +114,9 @@ _QUAD = f"""p AS (SELECT CAST(embedding[1] AS DOUBLE) / 2 + 0.5 AS x, CAST(embed
 
 ORACLES = {
     "hierarchy_path": f"WITH RECURSIVE {_TREE} SELECT node, array_to_string(path, '/') AS path, CAST(len(path) - 1 AS INTEGER) AS depth, root FROM w",
-    "lca": f"""WITH RECURSIVE {_TREE}, n AS (SELECT * FROM w WHERE node LIKE 'n%')
-        SELECT a.node AS a, b.node AS b, list_filter(a.path, lambda x: list_contains(b.path, x))[-1] AS lca FROM n a JOIN n b ON a.node < b.node""",
-    "components": """WITH RECURSIVE e AS (SELECT DISTINCT l_partkey * 2 AS a, l_suppkey * 2 + 1 AS b FROM lineitem WHERE l_partkey % 10 = 0 AND l_suppkey % 4 = 0),
-        f AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
-        r AS (SELECT DISTINCT u AS node, u AS seen FROM f UNION SELECT r.node, f.v FROM r JOIN f ON f.u = r.seen)
-        SELECT node, min(seen) AS component FROM r GROUP BY 1""",
+    "lca": f"""WITH RECURSIVE {_TREE} SELECT 'c' || c_custkey AS a, b.node AS b, list_filter(a.path, lambda x: list_contains(b.path, x))[-1] AS lca
+        FROM customer JOIN w a ON a.node = 'c' || c_custkey JOIN w b ON b.node = 'c' || (c_custkey + 1)""",
+    "components": "SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey) AS component FROM orders",
     "quadtree": f"WITH {_QUAD} SELECT level, code, n, is_leaf, round(min_x, 6) AS min_x, round(max_x, 6) AS max_x, round(min_y, 6) AS min_y, round(max_y, 6) AS max_y FROM q",
     "bounds_rollup": f"""WITH {_QUAD} SELECT code >> (2 * (level - 1)) AS top, CAST(sum(n) AS BIGINT) AS n, round(min(min_x), 6) AS min_x, round(max(max_x), 6) AS max_x, count(*) AS leaves
         FROM q WHERE is_leaf AND level >= 1 GROUP BY 1""",

@@ -127,3 +127,22 @@ def test_hierarchy_refuses_chains_that_are_too_long(spark):
     assert got == {i: (i, 0) for i in range(12)}
     with pytest.raises(Exception, match="longer than 4 nodes"):
         graph.hierarchy(nodes, "id", "parent", 4).collect()
+
+
+def test_greedy_walk_over_partitions(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(4)
+    for budget in (0, 37, 400, 10_000):
+        costs = [rnd.choice([0, 1, 5, 30, 90]) for _ in range(300)]
+        left, want = budget, []
+        for i, c in enumerate(costs):
+            if c <= left:
+                left -= c
+                want.append((len(want), i))
+        df = spark.createDataFrame(list(enumerate(costs)), "id int, c int").orderBy(F.rand(1))
+        got = sorted((r["pos"], r["id"]) for r in ranking.greedy_budget(df, [], ["id"], "c", budget, ["id"]).collect())
+        assert got == want
+
