@@ -87,6 +87,7 @@ def links(fps: DataFrame) -> DataFrame:
     neighbour, 65 rows for each fingerprint and exact as well, so that no point's pairs
     are ever listed in full.
     """
+    fps = fps.repartition(partitions(fps.sparkSession), "fp")  # each row makes 33
     points = fps.withColumn("point", cell(F.col("fp"))).select("fp", F.explode(_near_points(F.col("point"))).alias("point"))
     counts = points.groupBy("point").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(points.join(counts, "point"), "points")
