@@ -104,9 +104,12 @@ def shards(df: DataFrame, dims: list[str], count: int, tie: list[str], bits: int
     return out.withColumn("slot", F.expr(f"__row - (cast(shard as long) * {n} + {count - 1}) div {count}")).drop("__row")
 
 
-def op1_hilbert(spark, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+def digest(docs: DataFrame) -> DataFrame:
+    """Narrow rows of documents: size (UTF-8 bytes and one; null: 1), text_crc32 (null: that of no bytes) and the metadata."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select("doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), "lang", "source", "n_chars")
-    out = shards(rows, ["lang", "source", "n_chars", "doc_id"], 8, ["doc_id", "text_crc32"])
+    return docs.select("doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), "lang", "source", "n_chars")
+
+
+def op1_hilbert(spark, sf_dir: str) -> DataFrame:
+    out = shards(digest(read(spark, sf_dir, "documents")), ["lang", "source", "n_chars", "doc_id"], 8, ["doc_id", "text_crc32"])
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")

@@ -7,6 +7,7 @@ shorter than ``gram`` is ever selected. Positions are kept, so matches can be lo
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,6 +112,18 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _cuts_above(key: F.Column, cuts: list[int]) -> F.Column:
+    """How many of the sorted ``cuts`` lie above a key: a scan of the groups' ends, then one of a group, twice the root of their number."""
+    if not cuts:
+        return F.lit(0)
+    size = math.isqrt(len(cuts) - 1) + 1
+    groups = [cuts[i : i + size] for i in range(0, len(cuts), size)]
+    whole = F.size(F.filter(F.array(*[F.lit(own[-1]) for own in groups]), lambda c: c <= key))
+    own = F.get(F.array(*[F.array(*map(F.lit, own)) for own in groups]), whole)
+    below = whole * size + F.size(F.filter(own, lambda c: c <= key))
+    return F.when(whole == len(groups), 0).otherwise(len(cuts) - below)
+
+
 def with_next(docs: DataFrame, run, schema: str) -> DataFrame:
     """Apply ``run(rows)`` to the documents in descending doc_id order, ``rows``: (doc_id, text, next text).
 
@@ -123,12 +136,9 @@ def with_next(docs: DataFrame, run, schema: str) -> DataFrame:
     rows = rows.withColumn("__key", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("__tie", F.xxhash64("text"))
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, partitions(spark), -(-size // BLOCK_BYTES))
-    cuts = rows.agg(F.percentile_approx("__key", [i / blocks for i in range(1, blocks)] or [0.5], 100 * blocks)).first()[0] or []
+    cuts = rows.agg(F.percentile_approx("__key", [i / blocks for i in range(1, blocks)] or [0.5], max(10_000, 20 * blocks))).first()[0] or []
     cuts = sorted(set(cuts)) if blocks > 1 else []
-    lit = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<long>")
-    # blocks from the highest ids down; a block starts below its cut
-    block = F.size(F.filter(lit, lambda c: c > F.col("__key")))
-    rows = rows.withColumn("__block", block)
+    rows = rows.withColumn("__block", _cuts_above(F.col("__key"), cuts))  # blocks from the highest ids down
     heads = rows.groupBy("__block").agg(F.max(F.struct("__key", -F.shiftright("__tie", 1), "__tie")).alias("h")).orderBy("__block").collect()  # a row for each block
     before = [(r["__block"], heads[i - 1]["__block"], r["h"]["__key"], r["h"]["__tie"]) for i, r in enumerate(heads)]
     to = spark.createDataFrame(before, "__block int, __to int, __key long, __tie long")

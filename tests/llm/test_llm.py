@@ -497,3 +497,62 @@ def test_embedding_plan_keeps_recall_as_it_grows():
         a, b = (embedding_lsh._keys(z, 7, tables, projections) for z in (x, y))
         assert (a == b).any(axis=1).mean() >= 0.9
     assert embedding_lsh.plan(10) == (embedding_lsh.TABLES, embedding_lsh.PROJECTIONS)
+
+
+def plain_winnow(text):
+    """Positions of the selected grams, window by window."""
+    n = len(text)
+    if n < winnow.GRAM:
+        return [0] if n else []
+    place, hashes = winnow.winnow(text)  # the hash of a gram depends on its characters only
+    known = {}
+    for at in range(0, n - winnow.GRAM + 1):
+        gram = text[at : at + winnow.GRAM]
+        if gram not in known:
+            known[gram] = int(winnow.winnow(gram)[1][0])
+    value = [known[text[at : at + winnow.GRAM]] >> 20 for at in range(n - winnow.GRAM + 1)]
+    out = []
+    for w in range(max(1, len(value) - winnow.WINDOW + 1)):
+        part = value[w : w + winnow.WINDOW]
+        at = w + len(part) - 1 - part[::-1].index(min(part))
+        if not out or out[-1] != at:
+            out.append(at)
+    assert [known[text[at : at + winnow.GRAM]] for at in out] == hashes.tolist()
+    return out
+
+
+def test_winnowing_selects_by_windows(monkeypatch):
+    rnd = random.Random(6)
+    data = [prose(rnd, rnd.randrange(1, 90)) for _ in range(25)] + ["", "a", "x" * 11, "x" * 12, "x" * 80, "ab" * 40, "日本ßé" * 30, prose(rnd, 60) * 3]
+    for step in (winnow._SLICE, 37):
+        monkeypatch.setattr(winnow, "_SLICE", step)
+        for text in data:
+            assert winnow.winnow(text)[0].tolist() == plain_winnow(text)
+
+
+def test_winnowing_report(docs, rows):
+    got = {(r["doc_id"], r["n_chars"], r["fingerprint"]): r for r in winnow.edit_report(docs).collect()}
+    order = sorted(rows, key=lambda r: -r[0])
+    for i, (doc, text, *_) in enumerate(order):
+        text, following = text or "", order[(i + 1) % len(order)][1] or ""
+        if i + 1 < len(order) and order[i + 1][0] == doc or i and order[i - 1][0] == doc:
+            continue  # rows of one id follow each other by text hash
+        own, near = winnow.winnow(text), winnow.winnow(following)
+        changed = winnow.winnow(winnow.edited(text, following))
+        r = got[doc, len(text), winnow.digest(*own)]
+        share = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b)) if len(a) or len(b) else 1.0
+        assert r["edited_fingerprint"] == winnow.digest(*changed)
+        assert r["near_edited"] == pytest.approx(share(own[1].tolist(), changed[1].tolist())) and r["near_next"] == pytest.approx(share(own[1].tolist(), near[1].tolist()))
+
+
+def test_winnowing_blocks(spark):
+    for n in (0, 1, 2, 5, 16, 17):
+        cuts = [3 * i for i in range(n)]
+        df = spark.createDataFrame([(k,) for k in range(-2, 3 * n + 3)], "k long").withColumn("above", winnow._cuts_above(F.col("k"), cuts))
+        assert all(r["above"] == sum(c > r["k"] for c in cuts) for r in df.collect())
+
+
+def test_hilbert_query_columns(docs, rows):
+    got = Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in hilbert.digest(docs).collect())
+    assert got == Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
+
