@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from os.path import commonprefix
 
 
 def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -11,7 +10,13 @@ def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
     n = min(len(a), len(b))
     if a[known:n] == b[known:n]:
         return n
-    return known + len(commonprefix((a[known:n], b[known:n])))
+    while known < n:  # by halves
+        mid = (known + n + 1) >> 1
+        if a[known:mid] == b[known:mid]:
+            known = mid
+        else:
+            n = mid - 1
+    return known
 
 
 def front_code(strings: list[bytes]) -> tuple[bytes, list[int], list[int]]:
@@ -84,6 +89,19 @@ def merge(runs: list[Iterable[tuple[int, bytes, object]]]) -> Iterator[tuple[int
         else:
             prefix[top], head[top], load[top] = following
         node = (top + size) >> 1
-        while node:
-            top, losers[node] = play(top, losers[node])
+        while node:  # ``play`` along the path to the root, written out
+            other = losers[node]
+            y = head[other]
+            if y is not None:
+                x = head[top]
+                own, its = prefix[top], prefix[other]
+                if x is None or own < its:
+                    losers[node], top = top, other
+                elif own == its:
+                    h = shared_prefix(x, y, own)
+                    if h == len(x) or h < len(y) and x[h] < y[h]:
+                        prefix[other] = h
+                    else:
+                        prefix[top] = h
+                        losers[node], top = top, other
             node >>= 1

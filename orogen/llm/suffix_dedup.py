@@ -30,7 +30,6 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Table, pack, partitions, read, slices, task, texts, unpack
-from .lcp import front_code, front_decode, merge
+from .lcp import front_code, front_decode, merge, shared_prefix
 
 SPAN, GRAM = 50, 16
 #: Stretches of one gram, after each run's own reduction, beyond which they are exchanged window by window.
 CROWDED = 4096
 _BUFFER = 1 << 19
 #: Entries of a run.
-_RUN = 150_000
+_RUN = 250_000
 #: Different stretches of one gram that are compared pair by pair, not by a table of windows.
 _FEW = 8
 #: Ranges of the gram hashes that a task sorts one after another.
@@ -497,7 +496,7 @@ def _shared_suffix(a: bytes, b: bytes) -> int:
     n = min(len(a), len(b))
     if a[len(a) - n :] == b[len(b) - n :]:
         return n
-    return len(commonprefix((a[::-1], b[::-1])))
+    return shared_prefix(a[::-1], b[::-1])
 
 
 def _repeated(group: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
