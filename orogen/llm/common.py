@@ -83,21 +83,23 @@ def global_index(df: DataFrame, order: list[str | Column], name: str = "idx") ->
 def components(edges: DataFrame, name: str = "component") -> DataFrame:
     """Connected components of ``edges`` (a, b: long): rows (node, component), component the least node.
 
-    Alternates large-star and small-star steps until nothing changes. Hubs are first
+    Alternates large-star and small-star steps until nothing changes; between them each task
+    replaces its edges by stars (``_contracted``), which saves most rounds. Hubs are first
     reduced to one minimum by partial aggregation; the joins back are plain sort-merge
-    joins, whose skewed partitions Spark splits. Nodes without an edge have no row.
+    joins, whose skewed partitions Spark splits and of which the driver receives nothing.
+    Nodes without an edge have no row.
     """
     pair = edges.where("a is not null and b is not null and a <> b")
-    table = Table(pair.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    table = Table(_contracted(pair.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()), "edges")
     seen = _mark(table.df)
     while seen[0]:
         e = table.df
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select("lo", "hi"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(low, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        step = Table(small.union(low.select("hi", "m")).distinct(), "edges")
+        small = large.join(low.hint("merge"), "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        step = Table(_contracted(small.union(low.select("hi", F.col("m").alias("lo"))).distinct()), "edges")
         mark = _mark(step.df)
         table.drop()
         table = step
@@ -109,6 +111,44 @@ def components(edges: DataFrame, name: str = "component") -> DataFrame:
     )
 
 
+#: Edges that a task contracts at a time.
+_EDGES = 1 << 18
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (hi, lo) that connect what ``edges`` connect: each part of a task's edges as stars around least nodes."""
+
+    def stars(part: list[pa.RecordBatch]) -> pa.RecordBatch:
+        parent: dict[int, int] = {}
+
+        def root(v: int) -> int:
+            while parent.setdefault(v, v) != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        for batch in part:
+            for hi, lo in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                a, b = root(hi), root(lo)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        rows = [(v, r) for v, r in ((v, root(v)) for v in list(parent)) if v != r]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(2)], ["hi", "lo"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = [], 0
+        for batch in batches:
+            part.append(batch)
+            held += batch.num_rows
+            if held >= _EDGES:
+                yield stars(part)
+                part, held = [], 0
+        if part:
+            yield stars(part)
+
+    return edges.mapInArrow(task(run), "hi long, lo long")
+
+
 def _mark(e: DataFrame) -> tuple[int, int]:
     r = e.agg(F.count(F.lit(1)), F.expr("coalesce(bit_xor(xxhash64(hi, lo)), 0)")).first()
     return r[0], r[1]

@@ -90,11 +90,11 @@ def links(fps: DataFrame) -> DataFrame:
     fps = fps.repartition(partitions(fps.sparkSession), "fp")  # each row makes 33
     points = fps.withColumn("point", cell(F.col("fp"))).select("fp", F.explode(_near_points(F.col("point"))).alias("point"))
     counts = points.groupBy("point").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(points.join(counts, "point"), "points")
+    shared = written(points.join(counts.hint("merge"), "point"), "points")
     calm = shared.where(F.col("n") <= CROWDED).select("point", "fp")
     near = (
         calm.withColumnRenamed("fp", "a")
-        .join(calm.withColumnRenamed("fp", "b"), "point")
+        .join(calm.withColumnRenamed("fp", "b").hint("merge"), "point")
         .where("a < b and bit_count(a ^ b) <= 2")
         .select("a", "b")
     )
@@ -102,7 +102,7 @@ def links(fps: DataFrame) -> DataFrame:
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(_mask(1 << i)) for i in range(64)])
     mids = crowd.select("fp", F.explode(flips).alias("mid"))
     hubs = mids.groupBy("mid").agg(F.min("fp").alias("hub"))
-    through = mids.join(hubs, "mid").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
+    through = mids.join(hubs.hint("merge"), "mid").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
     return near.union(through)
 
 
@@ -111,15 +111,16 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
 
     Null and empty texts have fingerprint zero and are linked like any other; repeated
     rows each get a row; a null doc_id keeps its row and never becomes a component_id
-    unless its component has no other. Other columns of ``docs`` are ignored.
+    unless its component has no other. Other columns of ``docs`` are ignored. The driver
+    receives no rows: every join is a sort-merge join, none a broadcast.
     """
     prints = written(fingerprints(docs, words), "prints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = components(links(classes.select("fp")), "root").withColumnRenamed("node", "fp")
-    rooted = classes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = classes.join(roots.hint("merge"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    member = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(member, "fp").select("doc_id", "fp", "component_id")
+    member = rooted.join(least.hint("merge"), "root").select("fp", "component_id")
+    return prints.join(member.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 #: Bands of ``similar_documents`` and least hashes in each: a pair of similarity 0.8 shares no band once in 300,000 times ((1 - 0.8^5)^32).
