@@ -49,6 +49,54 @@ def nearest(queries: DataFrame, base: DataFrame, ident: str, vector: str, group:
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def nearest_value(left: DataFrame, right: DataFrame, keys: list[str], x: Column, y: Column, ident: str, width: float) -> DataFrame:
+    """``left`` with ``best`` (gap, id): the right row of equal keys with the least |x - y|, ties to the lesser ``ident``; and ``passing``, how many have these keys.
+
+    No pairs are listed. Both sides are dealt by their keys and by buckets of ``width``; each
+    bucket gets the last value below it and the first above, so that sorted neighbours decide.
+    Left rows without a match go, as do right rows without ``y``; where ``x`` is null or not
+    finite all gaps are equal. Values of ``y`` on one side of x whose gaps are equal only after
+    rounding count as apart.
+    """
+
+    def bucket(v: Column) -> Column:
+        return F.floor(F.greatest(F.least(v / width, F.lit(1e18)), F.lit(-1e18))).alias("__b")
+
+    known = [F.col(k).isNotNull() for k in keys]
+    rows = left.select(*[F.col(k) for k in keys], F.struct(*left.columns).alias("__l"), x.cast("double").alias("__v"))
+    values = right.select(*keys, y.cast("double").alias("__v"), F.col(ident).alias("__id")).where(F.col("__v").isNotNull())
+    for k in known:
+        rows, values = rows.where(k), values.where(k)
+    rows = rows.withColumn("__b", F.coalesce(bucket(F.col("__v")), F.lit(0)))
+    values = values.groupBy(*keys, "__v").agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("__n")).withColumn("__b", bucket(F.col("__v")))
+    near = F.struct(F.col("__v").alias("y"), F.col("__id").alias("id"))
+    ends = values.groupBy(*keys, "__b").agg(F.min(near).alias("lo"), F.max(near).alias("hi"), F.sum("__n").alias("n"), F.min("__id").alias("least"))
+    ends = rows.select(*keys, "__b").distinct().join(ends, [*keys, "__b"], "full_outer")
+    group, place = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("__b")
+    ends = ends.select(
+        *keys, "__b", F.last("hi", True).over(place.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.last("lo", True).over(Window.partitionBy(*keys).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)).alias("after"),
+        F.sum("n").over(group).alias("n"), F.min("least").over(group).alias("least"),
+    )
+    kind, no = dict((f.name, f.dataType) for f in ends.schema), F.lit(None)
+
+    def part(df: DataFrame, pos: int, side: int, **cols: Column) -> DataFrame:
+        all_ = {"__v": no.cast("double"), "__l": no.cast(rows.schema["__l"].dataType), "r": no.cast(kind["before"]), "n": no.cast("long"), "least": no.cast(kind["least"])} | cols
+        return df.select(*keys, "__b", F.lit(pos).alias("pos"), F.lit(side).alias("side"), *[c.alias(k) for k, c in all_.items()])
+
+    met = part(rows, 1, 1, __v=F.col("__v"), __l=F.col("__l")).union(part(values, 1, 0, __v=F.col("__v"), r=near))
+    met = met.union(part(ends, 0, 0, r=F.col("before"), n=F.col("n"), least=F.col("least"))).union(part(ends, 2, 0, r=F.col("after")))
+    cell, so_far = Window.partitionBy(*keys, "__b"), (Window.unboundedPreceding, Window.currentRow)
+    up = cell.orderBy("pos", "__v", "side").rowsBetween(*so_far)
+    down = cell.orderBy(F.desc("pos"), F.desc("__v"), "side").rowsBetween(*so_far)
+    met = met.select("__l", "__v", *[F.last(c, True).over(up).alias(c) for c in ("n", "least")], F.last("r", True).over(up).alias("lo"), F.last("r", True).over(down).alias("hi"))
+    met = met.where("__l is not null and n is not null")
+    gaps = [F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col("__v") - F.col(f"{c}.y")).alias("gap"), F.col(f"{c}.id").alias("id"))) for c in ("lo", "hi")]
+    plain = F.abs(F.col("__v")) < float("inf")  # neither null nor NaN, which is the greatest
+    best = F.when(plain, F.least(*gaps)).otherwise(F.struct(F.abs(F.col("__v")).alias("gap"), F.col("least").alias("id")))
+    return met.select("__l.*", best.alias("best"), F.col("n").alias("passing"))
+
+
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` with the rows of ``changes`` inserted, or replacing those of equal keys."""
     rest = [c for c in base.columns if c not in keys]

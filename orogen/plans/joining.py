@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.joins import asof_previous, nearest, ordered_pairs, range_join, sign_code
+from ..operators.joins import asof_previous, nearest, nearest_value, ordered_pairs, range_join, sign_code
 from ..tables import read
 
 
@@ -70,9 +70,8 @@ def set_ops(spark, sf_dir):
 def backproject_rank(spark, sf_dir):
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", (F.col("o_custkey") % 25).alias("nation"))
     suppliers = read(spark, sf_dir, "supplier").where("s_acctbal > 0").select("s_suppkey", "s_acctbal", F.col("s_nationkey").cast("long").alias("nation"))
-    gap = F.abs(F.col("o_totalprice") / 100 - F.col("s_acctbal"))
-    joined = orders.join(suppliers, "nation")
-    return joined.groupBy("o_orderkey").agg(F.min_by("s_suppkey", F.struct(gap, F.col("s_suppkey"))).alias("best_supplier"), F.count(F.lit(1)).alias("passing"))
+    found = nearest_value(orders, suppliers, ["nation"], F.col("o_totalprice") / 100, F.col("s_acctbal"), "s_suppkey", 100)
+    return found.groupBy("o_orderkey").agg(F.min("best")["id"].alias("best_supplier"), F.sum("passing").alias("passing"))
 
 
 QUERIES = {
