@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,15 +40,85 @@ def ordered_pairs(df: DataFrame, key: str, condition: Column | None = None) -> D
 def nearest(queries: DataFrame, base: DataFrame, ident: str, vector: str, group: str, k: int) -> DataFrame:
     """The ``k`` nearest base rows (Euclidean) of each query within its ``group``, ties to the lesser id.
 
-    Groups bound the comparison; the running best are kept by a group limit before the
-    shuffle of distances.
+    Both sides are dealt to blocks of about ``BLOCK`` rows of a group, and each pair of blocks
+    meets in a task, which sends on the ``k`` best of each query; no list of pairs is made.
+    Products of matrices rule pairs out, with room for their rounding; distances of the others
+    are summed in the order of the components. As in SQL, components that either vector lacks
+    are left out of the sum, and a distance without any component is null and last.
     """
-    q = queries.select(F.col(ident).alias("q_id"), F.col(vector).alias("__q"), group)
-    b = base.select(F.col(ident).alias("b_id"), F.col(vector).alias("__b"), group)
-    square = F.aggregate(F.zip_with("__q", "__b", lambda x, y: (x.cast("double") - y.cast("double")) ** 2), F.lit(0.0), lambda s, x: s + x)
-    pairs = q.join(b, group).where("q_id <> b_id").withColumn("dist", F.sqrt(square)).drop("__q", "__b")
-    rank = F.row_number().over(Window.partitionBy("q_id").orderBy("dist", "b_id"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+    schema = f"g {base.schema[group].dataType.simpleString()}, q_id {queries.schema[ident].dataType.simpleString()}, b_id {base.schema[ident].dataType.simpleString()}, dist double"
+    sides = []
+    for df, other in ((queries, base), (base, queries)):
+        own = df.select(F.col(group).alias("g"), F.col(ident).alias("id"), F.col(vector).alias("v")).where("g is not null and id is not null")
+        for name, of in (("own", df), ("other", other)):
+            own = own.join(of.groupBy(F.col(group).alias("g")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias(name)), "g")
+        own = own.withColumn("mine", F.expr("pmod(xxhash64(id), own)")).withColumn("its", F.explode(F.expr("sequence(0L, other - 1)")))
+        sides.append(own)
+    q, b = (own.select("g", *[F.col(c).alias(n) for c, n in zip(("mine", "its"), names, strict=True)], "id", "v") for own, names in zip(sides, ("xy", "yx"), strict=True))
+    best = q.groupBy("g", "x", "y").cogroup(b.groupBy("g", "x", "y")).applyInArrow(_block_nearest(k), schema)
+    rank = F.row_number().over(Window.partitionBy("q_id").orderBy(F.col("dist").asc_nulls_last(), "b_id"))
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).withColumnRenamed("g", group)
+
+
+#: Rows of a block of ``nearest``, and queries compared at a time.
+BLOCK, _QUERIES = 2048, 256
+
+
+def _block_nearest(k: int):
+    """Two blocks (g, x, y, id, v) to rows (g, q_id, b_id, dist): each query's ``k`` nearest of the other block, and rows as near."""
+
+    def dense(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        rows = [v or [] for v in vectors.to_pylist()]
+        out, has = (np.zeros((len(rows), max(1, *map(len, rows))), t) for t in (np.float64, bool))
+        for i, row in enumerate(rows):
+            has[i, : len(row)] = [c is not None for c in row]
+            out[i, : len(row)] = [0.0 if c is None else c for c in row]
+        return out, has
+
+    def exact(a: np.ndarray, b: np.ndarray, both: np.ndarray | None) -> np.ndarray:
+        total = np.zeros(len(a))
+        for d in range(a.shape[1]):  # in the order of the components
+            term = (a[:, d] - b[:, d]) ** 2
+            total += term if both is None else np.where(both[:, d], term, 0.0)
+        return np.sqrt(total if both is None else np.where(both.any(axis=1), total, np.nan))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds = [left.schema.field("g").type, left.schema.field("id").type, right.schema.field("id").type, pa.float64()]
+        names = ["g", "q_id", "b_id", "dist"]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names)
+        q_ids, b_ids = (np.array(t.column("id").to_pylist()) for t in (left, right))
+        (a, has_a), (b, has_b) = dense(left.column("v")), dense(right.column("v"))
+        width = max(a.shape[1], b.shape[1])
+        a, has_a, b, has_b = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (a, has_a, b, has_b))
+        whole = has_a.all() and has_b.all()
+        with np.errstate(all="ignore"):
+            norm_a, norm_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
+            regular = whole and np.isfinite(norm_a.max() * 4) and np.isfinite(norm_b.max() * 4)
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for at in range(0, len(a), _QUERIES):
+                part = slice(at, at + _QUERIES)
+                keep = q_ids[part, None] != b_ids
+                if regular:
+                    near = norm_a[part, None] + norm_b - 2 * (a[part] @ b.T)
+                    near[~keep] = np.inf
+                    room = 16 * (width + 8) * np.finfo(float).eps * (norm_a[part] + norm_b.max()) + np.finfo(float).tiny
+                    kth = np.partition(near, min(k, len(b)) - 1, axis=1)[:, min(k, len(b)) - 1]
+                    keep &= near <= (kth + room)[:, None]
+                i, j = np.nonzero(keep)
+                for lo in range(0, len(i), 1 << 16):
+                    x, y = i[lo : lo + (1 << 16)] + at, j[lo : lo + (1 << 16)]
+                    found.append((x, y, exact(a[x], b[y], None if whole else has_a[x] & has_b[y])))
+        i, j, dist = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        none = np.zeros(len(i), bool) if whole else ~(has_a[i] & has_b[j]).any(axis=1)
+        order = np.lexsort((b_ids[j], none, dist, i))
+        i, j, dist, none = i[order], j[order], dist[order], none[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        i, j, dist, none = (c[place < k] for c in (i, j, dist, none))
+        made = [pa.array([left.column("g")[0].as_py()] * len(i), kinds[0]), pa.array(q_ids[i].tolist(), kinds[1]), pa.array(b_ids[j].tolist(), kinds[2]), pa.array(dist, pa.float64(), mask=none)]
+        return pa.table(made, names)
+
+    return run
 
 
 def nearest_value(left: DataFrame, right: DataFrame, keys: list[str], x: Column, y: Column, ident: str, width: float) -> DataFrame:
