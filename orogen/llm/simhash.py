@@ -79,13 +79,12 @@ def _near_points(point: Column) -> Column:
     return F.array_compact(F.array(*around))
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Rows (a, b): verified links (at most 2 differing bits) that connect what pairs would connect.
+def _grid(fps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (a, b) and (fp, mid): all pairs at most 2 bits apart are among the pairs a < b or share a ``mid``, and no others.
 
     ``fps``: distinct fingerprints in a column fp. Points with more than CROWDED
-    fingerprints link each fingerprint to the least one within one bit of a common
-    neighbour, 65 rows for each fingerprint and exact as well, so that no point's pairs
-    are ever listed in full.
+    fingerprints spread each over the neighbours one bit away, of which two fingerprints
+    at most 2 bits apart share one, so that no point's pairs are ever listed in full.
     """
     fps = fps.repartition(partitions(fps.sparkSession), "fp")  # each row makes 33
     points = fps.withColumn("point", cell(F.col("fp"))).select("fp", F.explode(_near_points(F.col("point"))).alias("point"))
@@ -100,12 +99,30 @@ def links(fps: DataFrame) -> DataFrame:
     )
     crowd = shared.where(F.col("n") > CROWDED).select("fp").distinct()
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(_mask(1 << i)) for i in range(64)])
-    mids = crowd.select("fp", F.explode(flips).alias("mid"))
+    return near, crowd.select("fp", F.explode(flips).alias("mid"))
+
+
+def links(fps: DataFrame) -> DataFrame:
+    """Rows (a, b): verified links (at most 2 differing bits) that connect what pairs would connect.
+
+    ``fps``: distinct fingerprints in a column fp. Those of crowded points are linked to the
+    least one within one bit of a common neighbour, 65 rows for each and exact as well.
+    """
+    near, mids = _grid(fps)
     hubs = mids.groupBy("mid").agg(F.min("fp").alias("hub"))
     through = mids.join(hubs.hint("merge"), "mid").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
     return near.union(through)
 
 
+def _fingerprint_spots(classes: DataFrame) -> DataFrame:
+    """Rows (node, spot): texts share a spot if their fingerprints (column fp) are at most 2 bits apart, and only then."""
+    own = classes.select("node", "fp")
+    near, mids = _grid(own.select("fp").distinct())
+    pairs = near.distinct().select(F.xxhash64(F.lit(1), "a", "b").alias("spot"), F.explode(F.array("a", "b")).alias("fp"))
+    apart = pairs.union(mids.select(F.xxhash64(F.lit(2), "mid").alias("spot"), "fp"))
+    return own.select("node", F.xxhash64(F.lit(0), "fp").alias("spot")).union(own.join(apart, "fp").select("node", "spot"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     """Rows (doc_id, fp, component_id): component_id is the least doc_id reachable over links.
 
@@ -146,7 +163,8 @@ def _band_prints(words: int):
             data = texts(batch)
             made = [(bands(own).tolist(), len(own)) for own in (shingles(t, words) for t in data)]
             rows = [pa.array([r[i] for r in made], pa.int64() if i else pa.list_(pa.int64())) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), *rows], ["doc_id", "same", "bands", "n"])
+            rows.append(pa.array(np.array([simhash(t) for t in data], np.uint64).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), *rows], ["doc_id", "same", "bands", "n", "fp"])
 
     return run
 
@@ -312,14 +330,15 @@ def text_key(docs: DataFrame) -> Column:
 def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """Rows (doc_id, same, component_id, first): groups of documents linked by a shingle similarity of ``least`` or more.
 
-    SimHash bits lie too far apart at a Jaccard similarity of 0.8 (ten bits of 64 on
-    average for word shingles; single words after appended or cut text). Candidates are
-    texts that share a band of least hashes of their word shingles, the chance of which
+    Candidates are texts whose SimHash fingerprints are at most 2 bits apart, found by the
+    grid range join as in ``links``. At a Jaccard similarity of 0.8 fingerprints lie
+    farther apart (ten bits of 64 on average for word shingles), so texts that share a
+    band of least hashes of their word shingles are candidates as well, the chance of which
     depends on the similarity alone, however it came about; the exact Jaccard similarity decides.
-    Equal texts form one class (``same``). Every pair of classes that share a band is
+    Equal texts form one class (``same``). Every pair of candidates is
     decided or already connected: first all members of a band meet its least document, then
-    those that are not yet connected meet each other, as pairs in bands of up to CROWDED
-    texts and block against block, without a list of pairs, in larger ones. Before texts
+    those of a band or of near fingerprints that are not yet connected meet each other, as
+    pairs in groups of up to CROWDED texts and block against block, without a list of pairs, in larger ones. Before texts
     meet, pairs whose shingle counts rule the similarity out are left.
 
     ``docs``: doc_id and text (null: empty). A document is a pair of id and text, so rows of
@@ -327,8 +346,8 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     the group's document of least id (null ids last), on each of its rows if it is repeated.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(docs).alias("same"), F.col("text").cast("string").alias("text"))
-    prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long"), "prints")
-    kinds = prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n")])
+    prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long, fp long"), "prints")
+    kinds = prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n", "fp")])
     kinds = written(kinds, "kinds")
     nodes = global_index(kinds.select("same", "rep"), [F.col("rep").asc_nulls_last(), F.col("same")], "node")  # unique, in the order of rep
     classes = written(kinds.join(nodes.select("same", "node"), "same"), "classes")
@@ -340,6 +359,9 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     stars = written(stars, "stars")
     links = _similar_pairs(rows, classes, stars, words, least)
     roots = written(components(links, "root"), "roots")
+    prone = _fingerprint_spots(classes)
+    many = prone.groupBy("spot").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
+    shared = shared.select("node", "spot", "met").union(written(prone.join(many, "spot").select("node", "spot", "met"), "points"))
     placed = written(shared.join(roots, "node", "left").select("spot", "node", "met", F.coalesce("root", "node").alias("root")), "points")
     open_spots = placed.groupBy("spot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("spot")
     placed = written(placed.join(open_spots, "spot"), "points")

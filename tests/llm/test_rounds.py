@@ -38,3 +38,35 @@ def test_simhash_broadcasts_nothing(spark, monkeypatch):
     plans.append(out._jdf.queryExecution().executedPlan().toString())
     assert out.count() == 200
     assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_similar_documents_searches_by_fingerprints(spark, monkeypatch):
+    made = simhash._band_prints
+
+    def without(words):
+        inner = made(words)
+
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in inner(batches):
+                at = batch.schema.get_field_index("bands")
+                yield batch.set_column(at, "bands", pa.array([[]] * batch.num_rows, pa.list_(pa.int64())))
+
+        return run
+
+    monkeypatch.setattr(simhash, "_band_prints", without)  # no text shares a band
+    rnd = random.Random(11)
+    rows, near = [], set()
+    for i in range(0, 120, 2):
+        text = [f"w{rnd.randrange(3000)}" for _ in range(400)]
+        edited = [*text]
+        edited[200] = "changed"
+        rows += [(i, " ".join(text)), (i + 1, " ".join(edited))]
+        if (simhash.simhash(rows[-1][1].encode()) ^ simhash.simhash(rows[-2][1].encode())).bit_count() <= 2:
+            near.add(i)
+    assert len(near) > 20
+    for crowded in (simhash.CROWDED, 1):
+        monkeypatch.setattr(simhash, "CROWDED", crowded)
+        found = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r["doc_id"] - 1 for r in found if r["component_id"] != r["doc_id"]} == near
