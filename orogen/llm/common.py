@@ -42,8 +42,20 @@ class Table:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    return Table(df, name).df
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """``df`` from a written table; Python functions in its plan get at most ``batch`` rows at a time (texts: memory in both processes)."""
+    if batch is None:
+        return Table(df, name).df
+    conf = df.sparkSession.conf
+    usual = conf.get(_BATCH)
+    conf.set(_BATCH, str(batch))
+    try:
+        return Table(df, name).df
+    finally:
+        conf.set(_BATCH, usual)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -180,10 +192,21 @@ def release() -> None:
         pass
 
 
-def task(run: Callable) -> Callable:
-    """An Arrow function that gives its memory back when its task ends."""
+_kept: dict[str, dict] = {}
+
+
+def kept(kind: str) -> dict:
+    """What a worker keeps from one task of a kind to the next; what it kept for other kinds goes."""
+    for other in _kept.keys() - {kind}:
+        del _kept[other]
+    return _kept.setdefault(kind, {})
+
+
+def task(run: Callable, kind: str = "") -> Callable:
+    """An Arrow function that gives its memory back when its task ends, but for what is ``kept`` for its kind."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(kind)
         yield from run(batches)
         release()
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read, slices, task
+from .common import kept, read, slices, task
 
 SIZE = 2048
 END = 1
@@ -117,13 +117,11 @@ class Encoder:
         return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    encoders = kept("encoders")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
@@ -152,7 +150,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
                 at = stop
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(task(run), ", ".join(f"{c} long" for c in _PIECES))
+    return wanted.mapInArrow(task(run, "encoders"), ", ".join(f"{c} long" for c in _PIECES))
 
 
 _PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"]

@@ -24,6 +24,8 @@ SEGMENTS, SEGMENT_BITS = 16, 4
 #: A grid point with more fingerprints than this is linked through one-bit flips, a band with more texts block by block, not by pairs.
 CROWDED = 64
 _SLICE = 1 << 16
+#: Rows of an Arrow batch that holds texts.
+_TEXTS = 1024
 
 
 def simhash(text: bytes, words: int = 3, seed: int = SEED) -> int:
@@ -195,11 +197,17 @@ def _verified(words: int, least: float):
     return run
 
 
+def _place(doc_id: Column) -> list[Column]:
+    """A doc_id as two columns that joins and groups take as they are, null or not."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("at"), doc_id.isNull().alias("none")]
+
+
 def _wanted(rows: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows (node, text) of ``nodes`` (node, distinct)."""
-    ends = classes.select("node", F.col("same").alias("of"), "rep").join(nodes, "node")
-    found = rows.join(ends, (F.col("same") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
-    return found.dropDuplicates(["node"])
+    """Rows (node, text) of ``nodes`` (node, distinct). Texts are shuffled once: copies meet where the join deals them."""
+    ends = classes.join(nodes, "node").select("node", "same", *_place(F.col("rep")))
+    key = ["same", "at", "none"]
+    found = rows.select("same", *_place(F.col("doc_id")), "text").join(ends, key)
+    return found.dropDuplicates(key).select("node", "text")
 
 
 def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -304,8 +312,8 @@ def _crowded_links(rows: DataFrame, classes: DataFrame, placed: DataFrame, words
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], ["node", "shingles"])
 
     found = _wanted(rows, classes, placed.select("node").distinct()).mapInArrow(task(sets), "node long, shingles binary")
-    dealt = own.join(written(found, "shingles"), "node").repartition(partitions(rows.sparkSession), "pair").sortWithinPartitions("pair")
-    return written(dealt.select("pair", "block", "mixed", "node", "root", "shingles").mapInArrow(task(_compared(least)), "a long, b long"), "similar")
+    dealt = own.join(written(found, "shingles", _TEXTS), "node").repartition(partitions(rows.sparkSession), "pair").sortWithinPartitions("pair")
+    return written(dealt.select("pair", "block", "mixed", "node", "root", "shingles").mapInArrow(task(_compared(least)), "a long, b long"), "similar", _TEXTS)
 
 
 def _similar_pairs(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
@@ -319,7 +327,7 @@ def _similar_pairs(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words:
     wanted = written(_wanted(rows, classes, ends), "texts")
     first, second = (wanted.select(F.col("node").alias(p), F.col("text").alias(f"text_{p}")) for p in "ab")
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-    return written(both.mapInArrow(task(_verified(words, least)), "a long, b long"), "similar")
+    return written(both.mapInArrow(task(_verified(words, least)), "a long, b long"), "similar", _TEXTS)
 
 
 def text_key(docs: DataFrame) -> Column:
@@ -346,7 +354,7 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8) -> Da
     the group's document of least id (null ids last), on each of its rows if it is repeated.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(docs).alias("same"), F.col("text").cast("string").alias("text"))
-    prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long, fp long"), "prints")
+    prints = written(rows.mapInArrow(task(_band_prints(words)), "doc_id long, same binary, bands array<long>, n long, fp long"), "prints", _TEXTS)
     kinds = prints.groupBy("same").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "n", "fp")])
     kinds = written(kinds, "kinds")
     nodes = global_index(kinds.select("same", "rep"), [F.col("rep").asc_nulls_last(), F.col("same")], "node")  # unique, in the order of rep

@@ -70,3 +70,44 @@ def test_similar_documents_searches_by_fingerprints(spark, monkeypatch):
         monkeypatch.setattr(simhash, "CROWDED", crowded)
         found = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert {r["doc_id"] - 1 for r in found if r["component_id"] != r["doc_id"]} == near
+
+
+def test_wanted_texts_are_shuffled_once(spark):
+    rows = [(3, b"a", "x"), (3, b"a", "x"), (None, b"b", "y"), (4, b"b", "y"), (None, b"c", "z"), (0, b"c", "z"), (5, b"d", "w")]
+    rows = spark.createDataFrame(rows, "doc_id long, same binary, text string")
+    classes = spark.createDataFrame([(b"a", 0, 3), (b"b", 1, 4), (b"c", 2, None), (b"d", 3, 5)], "same binary, node long, rep long")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = simhash._wanted(rows, classes, spark.createDataFrame([(0,), (1,), (2,)], "node long"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, found.collect())) == [(0, "x"), (1, "y"), (2, "z")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert plan.count("Exchange hashpartitioning") == 4  # both tables of nodes, the wanted classes, the texts
+
+
+def test_text_batches_are_bounded(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    usual = spark.conf.get(common._BATCH)
+    df = spark.range(0, 1000, 1, 2).mapInArrow(common.task(sizes), "n long")
+    assert max(r["n"] for r in common.written(df, "sizes", 100).collect()) <= 100
+    assert spark.conf.get(common._BATCH) == usual
+
+
+def test_workers_keep_nothing_for_other_operators():
+    import public_tokenizers
+
+    from orogen.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    made = packing.encoder(path)
+    list(common.task(iter, "encoders")([]))
+    assert packing.encoder(path) is made
+    list(common.task(iter)([]))
+    assert packing.encoder(path) is not made
