@@ -10,9 +10,11 @@ stand for the rest without loss:
    compared exactly when their stretches share the gram. Equal stretches that follow each
    other at 50 bytes or less (periodic text) count as one with a *reach*, the distance of the
    last from the first: whatever goes from each of them goes without a gap.
-2. Tasks exchange the gram hashes of their stretches. This decides only which stretches stay
-   out of the sort: those whose gram no other document has. Stretches equal, byte for byte,
-   to one of an earlier document in the same part of a task go at once.
+2. Tasks exchange the gram hashes of their stretches and short hashes of the 17 bytes before
+   and the 18 bytes after the gram. A window has one or the other, as its gram's place in it
+   tells, so this decides only which stretches stay out of the sort: those whose gram no other
+   document has with either. Stretches equal, byte for byte, to one of an earlier document in
+   the same part of a task go at once.
 3. The suffixes at the grams of all others are sorted into runs, front-coded, exchanged, and
    merged by loser trees that never compare a known prefix again (``lcp.merge``). Entries
    that share the gram meet; the merge's common prefixes, continued by bytes to the left of
@@ -41,6 +43,8 @@ from .common import Table, pack, partitions, read, slices, task, texts, unpack
 from .lcp import front_code, front_decode, merge, shared_prefix
 
 SPAN, GRAM = 50, 16
+#: A window has this many bytes before its gram, or else at least one more after it.
+_BESIDE = (SPAN - GRAM) // 2
 #: Stretches of one gram, after each run's own reduction, beyond which they are exchanged window by window.
 CROWDED = 4096
 _BUFFER = 1 << 19
@@ -91,7 +95,10 @@ def _equal(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> n
 
 
 class Stretches:
-    """The stretches of some texts, as parallel arrays: text number, start, bytes, reach, gram offset, hashes."""
+    """The stretches of some texts, as parallel arrays: text number, start, bytes, reach, gram offset, hashes.
+
+    ``before`` and ``after`` stand for the bytes beside the gram; they mean something only where a window has them (``_beside``).
+    """
 
     def __init__(self, data: list[bytes], numbers: list[int], starts: list[int]):
         buf = np.frombuffer(b"".join(data), np.uint8)
@@ -123,6 +130,9 @@ class Stretches:
         self.size = (end - first).astype(np.uint8)
         self.offset = (at[first] - first).astype(np.uint8)
         self.gram = _mix(grams[at[first]] ^ np.uint64(_ODD))  # least hashes are small ones; these are spread evenly
+        lo, hi = np.maximum(at[first] - _BESIDE, 0), np.minimum(at[first] + GRAM + _BESIDE + 1, n)
+        self.before = (_mix((prefix[at[first]] - prefix[lo]) * down[lo]) >> np.uint64(48)).astype(np.uint16)
+        self.after = (_mix((prefix[hi] - prefix[at[first]]) * down[at[first]]) >> np.uint64(48)).astype(np.uint16)
         self.content = _mix((prefix[end] - prefix[first]) * down[first] + self.size.astype(np.uint64) * np.uint64(_ODD))
         again = (self.content[1:] == self.content[:-1]) & (self.gram[1:] == self.gram[:-1]) & (own[1:] == own[:-1]) & (np.diff(first) <= SPAN) & (self.size[1:] == self.size[:-1])
         rows = np.flatnonzero(again)
@@ -136,7 +146,13 @@ class Stretches:
                 setattr(self, c, getattr(self, c)[heads])
 
 
-FIELDS = ("number", "start", "size", "reach", "offset", "gram", "content")
+FIELDS = ("number", "start", "size", "reach", "offset", "gram", "content", "before", "after")
+
+
+def _beside(size: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a stretch has windows with _BESIDE bytes before the gram, and windows with fewer."""
+    first = offset.astype(np.int64)  # the gram's place in the first window; in the last one, it is less by the other windows
+    return first >= _BESIDE, first - (size.astype(np.int64) - SPAN) < _BESIDE
 
 
 def _stretches(data: list[tuple[int, bytes]]) -> Iterator[Stretches]:
@@ -234,10 +250,10 @@ def _scan(parts: int):
         if not found:
             return
         doc, th = np.array(docs, np.int64), np.array(hashes, np.uint64)
-        number, start, size, reach, offset, gram, content = (np.concatenate([getattr(s, c) for s in found]) for c in FIELDS)
+        number, start, size, reach, offset, gram, content, before, after = (np.concatenate([getattr(s, c) for s in found]) for c in FIELDS)
         found.clear()
         order = np.lexsort((doc[number], content, gram))
-        number, start, size, reach, offset, gram, content = (x[order] for x in (number, start, size, reach, offset, gram, content))
+        number, start, size, reach, offset, gram, content, before, after = (x[order] for x in (number, start, size, reach, offset, gram, content, before, after))
         first = np.ones(len(gram), bool)
         first[1:] = (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
         head = np.flatnonzero(first)[np.cumsum(first) - 1]
@@ -248,13 +264,13 @@ def _scan(parts: int):
             late[rows] = _equal(np.frombuffer(b"".join(data), np.uint8), at[rows], at[head[rows]], size[rows])
             yield _intervals(doc[number[late]], th[number[late]], start[late], size[late] + reach[late], parts, REMOVED)
         keep = ~late
-        number, start, size, reach, offset, gram = (x[keep] for x in (number, start, size, reach, offset, gram))
+        number, start, size, reach, offset, gram, before, after = (x[keep] for x in (number, start, size, reach, offset, gram, before, after))
         homes, blobs = [], []
         for p, rows in _split(_share(gram, parts)):
             used, local = np.unique(number[rows], return_inverse=True)
             kind = np.uint16 if len(used) < 65536 else np.uint32
             homes.append(p)
-            blobs.append(pack([len(rows), doc[used], th[used], local.astype(kind), start[rows].astype(np.uint32), size[rows], reach[rows], offset[rows], _planes(gram[rows])]))
+            blobs.append(pack([len(rows), doc[used], th[used], local.astype(kind), start[rows].astype(np.uint32), size[rows], reach[rows], offset[rows], before[rows], after[rows], _planes(gram[rows])]))
         yield _rows(homes, KEEP, blobs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,23 +306,23 @@ def _share(gram: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _match(parts: int, crowded: int):
-    """Runs of one share of the grams to the stretches left to compare: those whose gram another document has too."""
+    """Runs of one share of the grams to the stretches left to compare: those whose gram, with the bytes beside it, another document has too."""
 
     def decide(blobs: list[bytes], part: int) -> Iterator[pa.RecordBatch]:
         runs = []
         for blob in blobs:
-            n, doc, th, local, start, size, reach, offset, planes = unpack(blob)
-            runs.append((_from_planes(planes, n), local, doc, th, start, size, reach, offset))
+            n, doc, th, local, *cols, planes = unpack(blob)
+            runs.append((_from_planes(planes, n), local, doc, th, *cols))
         low, high = -(-(part << 64) // parts), -(-((part + 1) << 64) // parts)
         left: list[tuple[np.ndarray, ...]] = []
         for k in range(_RANGES):
             a, b = (low + (high - low) * i // _RANGES for i in (k, k + 1))
-            cols = [[] for _ in range(7)]
-            for gram, local, doc, th, start, size, reach, offset in runs:
+            cols = [[] for _ in range(9)]
+            for gram, local, doc, th, *more in runs:
                 i = np.searchsorted(gram, np.uint64(a)) if k else 0
                 j = np.searchsorted(gram, np.uint64(b)) if k < _RANGES - 1 else len(gram)
                 own = local[i:j]
-                for col, x in zip(cols, (gram[i:j], doc[own], th[own], start[i:j], size[i:j], reach[i:j], offset[i:j]), strict=True):
+                for col, x in zip(cols, (gram[i:j], doc[own], th[own], *(x[i:j] for x in more)), strict=True):
                     col.append(x)
             if any(map(len, cols[0])):
                 left.append(resolve([np.concatenate(c) for c in cols]))
@@ -317,12 +333,22 @@ def _match(parts: int, crowded: int):
 
     def resolve(cols: list[np.ndarray]) -> tuple[np.ndarray, ...]:
         order = np.argsort(cols[0], kind="stable")
-        gram, doc, th, start, size, reach, offset = (x[order] for x in cols)
+        gram, doc, th, start, size, reach, offset, *hashes = (x[order] for x in cols)
         new = np.ones(len(gram), bool)
         new[1:] = gram[1:] != gram[:-1]
         heads, group = np.flatnonzero(new), np.cumsum(new) - 1
-        left = (np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads))[group]
-        apart = (np.diff(np.append(heads, len(gram))) > crowded)[group]
+        met = (np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads))[group]
+        left = np.zeros(len(gram), bool)
+        for has, beside in zip(_beside(size, offset), hashes, strict=True):
+            rows = np.flatnonzero(met & has)
+            if len(rows):
+                code = group[rows] << 16 | beside[rows]
+                rows = rows[np.argsort(code, kind="stable")]
+                code = group[rows] << 16 | beside[rows]
+                starts = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+                several = np.minimum.reduceat(doc[rows], starts) < np.maximum.reduceat(doc[rows], starts)
+                left[rows] |= np.repeat(several, np.diff(np.append(starts, len(rows))))
+        apart = (np.bincount(group[left], minlength=len(heads)) > crowded)[group]
         return tuple(x[left] for x in (doc, th, start, size, reach, offset, apart))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

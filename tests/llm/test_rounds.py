@@ -111,3 +111,24 @@ def test_workers_keep_nothing_for_other_operators():
     assert packing.encoder(path) is made
     list(common.task(iter)([]))
     assert packing.encoder(path) is not made
+
+
+def test_suffix_dedup_compares_only_grams_with_equal_surroundings():
+    import numpy as np
+    import pyarrow as pa
+
+    from orogen.llm import suffix_dedup
+
+    def candidates(data):
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(data))), "text": data})
+        rows = [r for r in suffix_dedup._scan(1)(iter([batch]))]
+        made = [b for r in suffix_dedup._match(1, suffix_dedup.CROWDED)(iter(rows)) for b in r.to_pylist()]
+        cols = [suffix_dedup.unpack(b["blob"]) for b in made if b["kind"] == suffix_dedup.CANDIDATE]
+        return np.concatenate([c[0] for c in cols]) if cols else np.zeros(0)
+
+    rnd = random.Random(17)
+    own = [" ".join(f"{rnd.randrange(10**9):09d}" for _ in range(4)) for _ in range(400)]
+    phrase = "a few words in common"
+    assert not len(candidates([f"{a} {phrase} {b}" for a, b in zip(own[::2], own[1::2], strict=True)]))  # no 50 bytes are the same
+    passage = f"{phrase} that go on here for a good deal more than fifty bytes"
+    assert set(candidates([f"{a} {passage} {b}" for a, b in zip(own[:20:2], own[1:20:2], strict=True)])) == set(range(10))
